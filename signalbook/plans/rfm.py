@@ -19,13 +19,14 @@ def rfm(retail: DataFrame, as_of: str) -> DataFrame:
     Lines are first summed per invoice (on the map side where they can be),
     so a customer or an invoice of any size is added up in pieces.
     """
-    invoices = retail.groupBy("CustomerID", "InvoiceNo").agg(
-        F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("_spent"),
-        F.max("InvoiceDate").alias("_date"),
+    days = F.datediff(F.lit(as_of).cast("date"), F.to_date("InvoiceDate", INVOICE_DATE_FORMAT))
+    invoices = (
+        retail.na.drop("any")
+        .groupBy("CustomerID", "InvoiceNo")
+        .agg(F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("_spent"), F.min(days).alias("_days"))
     )
-    days = F.datediff(F.lit(as_of).cast("date"), F.to_date("_date", INVOICE_DATE_FORMAT))
     return invoices.groupBy("CustomerID").agg(
-        F.min(days).alias("Recency"),
+        F.min("_days").alias("Recency"),
         F.count(F.lit(1)).alias("Frequency"),
         F.round(F.sum("_spent"), 2).alias("Monetary"),
     )
