@@ -11,8 +11,10 @@ A place in time is ``(sin lat, cos lat, lon, epoch, lat)``.
 from __future__ import annotations
 
 import sys
-from math import acos, cos, floor, pi, sin
+from itertools import chain
+from math import acos, cos, floor, nan, pi, sin
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 
@@ -52,6 +54,12 @@ DECIDE_INPUT = ["card_id", "chunk", "kind", "epoch", "lat", "lon", "amount", "uc
 DECISION_FIELDS = (
     "km double, secs bigint, speed_rule boolean, amount_rule boolean, score_rule boolean, status string"
 )
+_DECISION_TYPES = [pa.float64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string()]
+_DECISION_NAMES = ["km", "secs", "speed_rule", "amount_rule", "score_rule", "status"]
+
+
+def _floats(batch, name):
+    return batch.column(name).to_numpy(zero_copy_only=False).astype("float64")  # null -> NaN
 
 
 def decide(keep):
@@ -59,28 +67,39 @@ def decide(keep):
     out, for every transaction."""
 
     def run(batches):
-        key = at = limits = None
+        key = at = None
+        ucl, score = nan, nan
         for batch in batches:
-            rows = zip(*(batch.column(n).to_pylist() for n in DECIDE_INPUT), strict=True)
-            verdicts, wanted = [], []
-            for card, chunk, kind, epoch, lat, lon, amount, ucl, score in rows:
-                if kind == START:
-                    key = (card, chunk)
-                    at = None if lat is None else place(lat, lon, epoch)
-                    limits = None if ucl is None or score is None else (ucl, score)
-                    wanted.append(False)
+            lat = _floats(batch, "lat")
+            starts = batch.column("kind").to_numpy() == START
+            columns = (
+                zip(batch.column("card_id").to_pylist(), batch.column("chunk").to_numpy().tolist(), strict=True),
+                starts.tolist(),
+                np.sin(lat * pi / 180.0).tolist(),
+                np.cos(lat * pi / 180.0).tolist(),
+                _floats(batch, "lon").tolist(),
+                batch.column("epoch").to_numpy().tolist(),
+                lat.tolist(),
+                _floats(batch, "amount").tolist(),
+                _floats(batch, "ucl").tolist(),
+                _floats(batch, "score").tolist(),
+            )
+            verdicts = []
+            for card, is_start, sine, cosine, lon, epoch, la, amount, limit, points in zip(*columns, strict=True):
+                if is_start:
+                    key, ucl, score = card, limit, points
+                    at = (sine, cosine, lon, epoch, la) if la == la else None
                     continue
-                wanted.append(True)
-                if key != (card, chunk):  # no start row: the lookup lacks the card
-                    key, at, limits = (card, chunk), None, None
-                if limits is None:
+                if key != card:  # no start row: the lookup lacks the card
+                    key, at, ucl = card, None, nan
+                if ucl != ucl or score != score:
                     verdicts.append((None, None, None, None, None, "UNKNOWN_CARD"))
                     continue
-                over, poor = amount > limits[0], limits[1] < SCORE_FLOOR
-                if at is None or lat is None:
+                over, poor = amount > ucl, score < SCORE_FLOOR
+                if at is None or la != la:
                     verdicts.append((None, None, None, over, poor, "UNKNOWN_POSTCODE"))
                     continue
-                here = place(lat, lon, epoch)
+                here = (sine, cosine, lon, epoch, la)
                 km, secs, fast = journey(at, here)
                 if fast or over or poor:
                     verdicts.append((km, secs, fast, over, poor, "FRAUD"))
@@ -88,30 +107,25 @@ def decide(keep):
                     verdicts.append((km, secs, fast, over, poor, "GENUINE"))
                     at = here
             if verdicts:
-                kept = batch.select(keep).filter(pa.array(wanted))
-                km, secs, fast, over, poor, status = zip(*verdicts, strict=True)
+                kept = batch.select(keep).filter(pa.array(~starts))
+                found = zip(zip(*verdicts, strict=True), _DECISION_TYPES, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    kept.columns
-                    + [
-                        pa.array(km, pa.float64()),
-                        pa.array(secs, pa.int64()),
-                        pa.array(fast, pa.bool_()),
-                        pa.array(over, pa.bool_()),
-                        pa.array(poor, pa.bool_()),
-                        pa.array(status, pa.string()),
-                    ],
-                    names=keep + ["km", "secs", "speed_rule", "amount_rule", "score_rule", "status"],
+                    kept.columns + [pa.array(c, t) for c, t in found], names=keep + _DECISION_NAMES
                 )
 
     return run
 
 
 # A heavy card is cut into chunks that are walked at the same time, although
-# a chunk's verdicts depend on the place its predecessor ends at.  A chunk is
-# therefore first asked for every place it may end at, whatever it starts
-# from; then for the end that belongs to each start its predecessors allow.
-# Both sets stay small: two starts become one at the first row that can be
-# reached from both, so at most one per postcode is ever apart.
+# a chunk's verdicts depend on the place its predecessor ends at.  Each chunk
+# is therefore first walked from every place it might start from, which tells
+# the end that belongs to each start; then the ends are strung together.  The
+# walk stays cheap: two starts become one at the first row that can be reached
+# from both.
+
+#: No journey takes longer than this without being possible: half the way
+#: around the earth at the speed limit.
+REACH_SECS = 180.0 * MINUTES_PER_DEGREE * STATUTE_PER_NAUTICAL * KM_PER_MILE / SPEED_LIMIT
 
 ENDS_SCHEMA = "card_id string, chunk int, lat double, lon double, epoch bigint"
 STEP_SCHEMA = ENDS_SCHEMA + ", to_lat double, to_lon double, to_epoch bigint"
@@ -119,42 +133,6 @@ STEP_SCHEMA = ENDS_SCHEMA + ", to_lat double, to_lon double, to_epoch bigint"
 WALK_INPUT = ["card_id", "chunk", "kind", "epoch", "lat", "lon", "blocked"]
 
 
-def _runs(batches):
-    for batch in batches:
-        yield from zip(*(batch.column(n).to_pylist() for n in WALK_INPUT), strict=True)
-
-
-def _batch(rows, names, types):
-    columns = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-
-def possible_ends(batches):
-    """Places each chunk may end at (a row without place if it cannot move the
-    card at all)."""
-    names = ["card_id", "chunk", "lat", "lon", "epoch"]
-    types = [pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.int64()]
-
-    def ends(key, open_):
-        found = [(*key, p[4], p[2], p[3]) for p in open_] or [(*key, None, None, None)]
-        return _batch(found, names, types)
-
-    key, open_ = None, []
-    for card, chunk, _kind, epoch, lat, lon, blocked in _runs(batches):
-        if key != (card, chunk):
-            if key:
-                yield ends(key, open_)
-            key, open_ = (card, chunk), []
-        if not blocked:
-            # Any row may be the first genuine one, so each joins the set, and
-            # whatever it can be reached from moves on to it.
-            here = place(lat, lon, epoch)
-            open_ = [p for p in open_ if journey(p, here)[2]]
-            open_.append(here)
-    if key:
-        yield ends(key, open_)
-
-
 def steps(batches):
     """Where each chunk ends for each place it may start from."""
     names = ["card_id", "chunk", "lat", "lon", "epoch", "to_lat", "to_lon", "to_epoch"]
@@ -162,10 +140,12 @@ def steps(batches):
 
     def found(key, held):
         rows = [(*key, s[4], s[2], s[3], p[4], p[2], p[3]) for p, starts in held.items() for s in starts]
-        return _batch(rows, names, types)
+        columns = zip(zip(*rows, strict=True), types, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=names)
 
     key, held = None, {}
-    for card, chunk, kind, epoch, lat, lon, blocked in _runs(batches):
+    rows = (zip(*(b.column(n).to_pylist() for n in WALK_INPUT), strict=True) for b in batches)
+    for card, chunk, kind, epoch, lat, lon, blocked in chain.from_iterable(rows):
         if key != (card, chunk):
             if held:
                 yield found(key, held)
@@ -188,15 +168,21 @@ def steps(batches):
 def allowed_starts(pdf):
     """For one card's chunks in order: the places each may start from.
 
-    Among places at one postcode only the newest counts: whoever was there
-    before has moved on by then.  The card's own start has chunk -1.
+    The input has, per chunk, the newest row at each place of the rows that
+    could be genuine (a row without place where there is none), and the card's
+    own start as chunk -1.  Among rows at one place only the newest counts, as
+    whoever was there before has moved on by then; and so has whoever is out
+    of reach of the newest row of all.
     """
     known, out = {}, []
-    for chunk, group in pdf.sort_values("chunk").groupby("chunk", sort=True):
+    for chunk, group in pdf.groupby("chunk", sort=True):
         if chunk >= 0:
             out += [(chunk, *p) for p in known.values()]
-        for p in group[["lat", "lon", "epoch"]].dropna().itertuples(index=False, name=None):
-            known[p[:2]] = p
+        fresh = list(group[["lat", "lon", "epoch"]].dropna().itertuples(index=False, name=None))
+        known.update((p[:2], p) for p in fresh)
+        newest = max((p[2] for p in fresh), default=None)
+        if newest is not None:
+            known = {k: p for k, p in known.items() if abs(newest - p[2]) <= REACH_SECS}
     frame = type(pdf)(out, columns=["chunk", "lat", "lon", "epoch"]).astype({"chunk": "int32", "epoch": "int64"})
     frame.insert(0, "card_id", pdf["card_id"].iloc[0])
     return frame

@@ -91,9 +91,9 @@ def split_heavy(df: DataFrame, key: str, order: list[str], rows_per_task: int):
     if not rows:
         return df, None, None
     heavy = checkpointed(heavy.select(key))
-    light = df.join(F.broadcast(heavy), key, "left_anti")
-    chunks = range_chunks(df.join(F.broadcast(heavy), key, "left_semi"), key, order, rows, rows_per_task)
-    return light, chunks, heavy
+    light = df.join(F.broadcast(heavy), key, "left_anti").select(*df.columns)
+    large = df.join(F.broadcast(heavy), key, "left_semi").select(*df.columns)
+    return light, range_chunks(large, key, order, rows, rows_per_task), heavy
 
 
 def range_chunks(df: DataFrame, key: str, order: list[str], rows: int, rows_per_task: int) -> DataFrame:

@@ -18,11 +18,12 @@ def cleaned(accounts: DataFrame) -> DataFrame:
     text of symbols alone becomes blanks and stays."""
     whole = accounts.select("account_id", "gender", "text").na.drop("any")
     known = whole.filter((F.col("gender") != "unknown") & (F.col("gender") != ""))
-    return known.withColumn("text1", tx.clean(F.col("text"))).drop("text").filter(F.col("text1") != "")
+    # Cleaning keeps the length, so the empty texts can go before it.
+    return known.filter(F.col("text") != "").select("account_id", "gender", tx.clean(F.col("text")).alias("text1"))
 
 
 def with_tokens(clean: DataFrame) -> DataFrame:
-    return clean.withColumn("words", tx.tokens(F.col("text1")))
+    return tx.add_tokens(clean, "text1", "words")
 
 
 def with_terms(tokenized: DataFrame) -> DataFrame:
@@ -65,7 +66,9 @@ class Features:
             ]
         )
         counted = words.fit(clean).transform(clean).select("account_id", "split", "gender", "label", "counts")
-        counted = counted.persist()
+        # Texts differ in length by orders of magnitude and the trees pass over
+        # the vectors many times, so these are spread evenly once.
+        counted = counted.repartition("account_id").persist()
         weights = IDF(inputCol="counts", outputCol="features").fit(counted.filter("split = 'train'"))
         self.table = weights.transform(counted).drop("counts").persist()
         self.table.count()

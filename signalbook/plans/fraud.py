@@ -231,9 +231,11 @@ def _chunk_starts(chunks: DataFrame, lookup: DataFrame) -> DataFrame:
     )
     first = movable.select("card_id", F.lit(-1).alias("chunk"), "lat", "lon", "epoch")
 
-    ordered = walk.withColumn("kind", F.lit(fold.TRANSACTION)).sortWithinPartitions("card_id", "chunk", *ORDER)
-    ends = ordered.mapInArrow(fold.possible_ends, fold.ENDS_SCHEMA)
-    allowed = ends.unionByName(first).groupBy("card_id").applyInPandas(fold.allowed_starts, fold.ENDS_SCHEMA)
+    every = chunks.select("card_id", "chunk").distinct()
+
+    newest = walk.filter(~F.col("blocked")).groupBy("card_id", "chunk", "lat", "lon").agg(F.max("epoch").alias("epoch"))
+    ends = newest.unionByName(every, allowMissingColumns=True).unionByName(first)
+    allowed = ends.groupBy("card_id").applyInPandas(fold.allowed_starts, fold.ENDS_SCHEMA)
     taken = _with_starts(walk, allowed).mapInArrow(fold.steps, fold.STEP_SCHEMA)
     true = (
         taken.unionByName(first, allowMissingColumns=True)
@@ -242,8 +244,7 @@ def _chunk_starts(chunks: DataFrame, lookup: DataFrame) -> DataFrame:
         .withColumnsRenamed({"lat": "_lat", "lon": "_lon", "epoch": "_epoch"})
     )
     return (
-        chunks.select("card_id", "chunk").distinct()
-        .join(F.broadcast(lookup), "card_id")
+        every.join(F.broadcast(lookup), "card_id")
         .join(true, ["card_id", "chunk"], "left")
         .withColumns({n: F.coalesce("_" + n, n) for n in ("lat", "lon", "epoch")})
         .drop("_lat", "_lon", "_epoch")
