@@ -33,24 +33,26 @@ def parse_payloads(raw: DataFrame) -> DataFrame:
     which is null for a good record and names the fault of a bad one."""
     schema = T.StructType([*PAYLOAD.fields, T.StructField("_corrupt", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = raw.withColumn("_p", F.from_json("value", schema, options))
-    fields = {n: F.col(f"_p.{n}") for n in TRANSACTION[1:-1]}
-    whole = fields["amount"].rlike("^[+-]?[0-9]+$")
-    missing = F.greatest(*[c.isNull() for c in fields.values()])
+    # As a generator the parse runs once per record; as a plain column, a
+    # later filter on the fault would repeat it for every field it looks at.
+    parsed = raw.select("*", F.inline(F.array(F.from_json("value", schema, options))))
+    missing = F.greatest(*[F.col(n).isNull() for n in PAYLOAD.fieldNames()])
+    whole = F.col("amount").rlike("^[+-]?[0-9]+$")
     typed = parsed.withColumns(
-        {**fields, "epoch": parse_epoch(F.col("_p.transaction_dt"))}
-    ).withColumn("_amount", F.when(whole, F.col("amount").try_cast("int")))
+        {
+            "_broken": F.col("_corrupt").isNotNull() | F.col("value").isNull(),
+            "_missing": missing,
+            "amount": F.when(whole, F.col("amount").try_cast("int")),
+            "epoch": parse_epoch(F.col("transaction_dt")),
+        }
+    )
     reason = (
-        F.when(F.col("_p").isNull() | F.col("_p._corrupt").isNotNull(), "MALFORMED_JSON")
-        .when(missing, "MISSING_FIELD")
-        .when(F.col("_amount").isNull(), "BAD_AMOUNT")
+        F.when(F.col("_broken"), "MALFORMED_JSON")
+        .when(F.col("_missing"), "MISSING_FIELD")
+        .when(F.col("amount").isNull(), "BAD_AMOUNT")
         .when(F.col("epoch").isNull(), "BAD_DATE")
     )
-    return (
-        typed.withColumn("reason", reason)
-        .withColumn("amount", F.col("_amount"))
-        .drop("_p", "_amount")
-    )
+    return typed.withColumn("reason", reason).drop("_corrupt", "_broken", "_missing")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -140,19 +142,27 @@ def zip_places(zips: DataFrame) -> DataFrame:
     )
 
 
-def locate(df: DataFrame, zips: DataFrame, prefix: str = "") -> DataFrame:
-    """Add the coordinates of ``postcode`` (null where it is unknown)."""
-    places = zip_places(zips).withColumnsRenamed({"lat": prefix + "lat", "lon": prefix + "lon"})
-    return dimension_join(df, places, "postcode", "left")
+class Places:
+    """The coordinates of postcodes, with their size checked once."""
+
+    def __init__(self, zips: DataFrame):
+        self.table = zip_places(zips)
+        self.small = is_small(self.table)
+
+    def locate(self, df: DataFrame, prefix: str = "") -> DataFrame:
+        """Add the coordinates of ``postcode`` (null where it is unknown)."""
+        named = self.table.withColumnsRenamed({"lat": prefix + "lat", "lon": prefix + "lon"})
+        return dimension_join(df, named, "postcode", "left", small=self.small)
 
 
 def journeys(tx: DataFrame, lookup: DataFrame, zips: DataFrame) -> DataFrame:
     """Each transaction beside its card's lookup row: kilometres, seconds and
     kilometres per second from the last known place."""
-    last = locate(lookup.withColumn("_known", F.lit(True)), zips, "last_").withColumnsRenamed(
+    places = Places(zips)
+    last = places.locate(lookup.withColumn("_known", F.lit(True)), "last_").withColumnsRenamed(
         {"postcode": "last_postcode", "epoch": "last_epoch", "transaction_dt": "last_dt"}
     )
-    both = salted_join(locate(tx, zips), last, "card_id", "left", spread_by=["txn_id"])
+    both = salted_join(places.locate(tx), last, "card_id", "left", spread_by=["txn_id"])
     km = truncate2(distance_km(F.col("lat"), F.col("lon"), F.col("last_lat"), F.col("last_lon")))
     return both.withColumns({"km": km, "secs": F.abs(F.col("epoch") - F.col("last_epoch"))}).withColumn(
         "speed", F.try_divide("km", "secs")
@@ -190,9 +200,10 @@ def score_transactions(
     Transactions and lookup rows meet in one shuffle: the lookup row of a card
     sorts before its transactions and the fold picks it up there.
     """
-    tx = locate(tx, zips).select(*carry, "lat", "lon")
-    lookup = locate(lookup, zips).select("card_id", "ucl", "score", "lat", "lon", "epoch")
-    light, chunks, heavy = split_heavy(tx, "card_id", ORDER, rows_per_task)
+    places = Places(zips)
+    placed = places.locate(tx).select(*carry, "lat", "lon")
+    lookup = places.locate(lookup).select("card_id", "ucl", "score", "lat", "lon", "epoch")
+    light, chunks, heavy = split_heavy(placed, "card_id", ORDER, rows_per_task, keys=tx)
     rows = light.withColumn("chunk", F.lit(0))
     starts = lookup.withColumn("chunk", F.lit(0))
     if chunks is not None:
@@ -202,7 +213,7 @@ def score_transactions(
             _chunk_starts(chunks, heavy_lookup)
         )
     both = _with_starts(rows, starts)
-    schema = ", ".join(f"`{n}` {tx.schema[n].dataType.simpleString()}" for n in carry)
+    schema = ", ".join(f"`{n}` {placed.schema[n].dataType.simpleString()}" for n in carry)
     return both.mapInArrow(fold.decide(list(carry)), f"{schema}, {fold.DECISION_FIELDS}")
 
 
