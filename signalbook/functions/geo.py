@@ -21,11 +21,11 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     """Kilometres by the spherical law of cosines.
 
     Rounding can push the cosine of equal points past 1, whose arc cosine is
-    NaN, so it is clamped.
+    NaN, so it is clamped (not by ``least``, which would skip a null).
     """
     a, b = to_radians(lat1), to_radians(lat2)
     cosine = F.sin(a) * F.sin(b) + F.cos(a) * F.cos(b) * F.cos(to_radians(lon1 - lon2))
-    clamped = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))
+    clamped = F.when(cosine > 1, F.lit(1.0)).when(cosine < -1, F.lit(-1.0)).otherwise(cosine)
     degrees = F.acos(clamped) * F.lit(180.0) / F.pi()
     return degrees * MINUTES_PER_DEGREE * STATUTE_PER_NAUTICAL * KM_PER_MILE
 

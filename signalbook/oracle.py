@@ -60,7 +60,8 @@ def _km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
         f"sin({_rad(lat1)}) * sin({_rad(lat2)}) + cos({_rad(lat1)}) * cos({_rad(lat2)})"
         f" * cos({_rad(f'{lon1} - {lon2}')})"
     )
-    arc = f"acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, {cosine})))"
+    one = "1.0::DOUBLE"
+    arc = f"acos(CASE WHEN {cosine} > {one} THEN {one} WHEN {cosine} < -{one} THEN -{one} ELSE {cosine} END)"
     km = f"({arc} * 180.0::DOUBLE / pi() * 60.0::DOUBLE * 1.1515::DOUBLE * 1.609344::DOUBLE)"
     return f"CAST(trunc(CAST(CAST({km} AS VARCHAR) AS DECIMAL(38,20)), 2) AS DOUBLE)"
 
