@@ -63,6 +63,18 @@ def quarantined(parsed: DataFrame) -> DataFrame:
     return parsed.filter("reason is not null").select("txn_id", "value", "reason")
 
 
+def typed(classified: DataFrame) -> DataFrame:
+    """Already classified transactions, read as text, with typed columns and a
+    ``txn_id`` that is the same in every load."""
+    fields = PAYLOAD.fieldNames()
+    return classified.select(
+        F.xxhash64(*fields).alias("txn_id"),
+        *[F.col("amount").try_cast("int").alias(n) if n == "amount" else n for n in fields],
+        parse_epoch(F.col("transaction_dt")).alias("epoch"),
+        "status",
+    )
+
+
 # --- batch statistics and the lookup ----------------------------------------
 
 

@@ -57,7 +57,7 @@ def relational(
     )
 
 
-def compact(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
-    """Rewrite many small files as few large ones, without a key that could
-    be skewed."""
-    df.repartition().write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(path)
+def compact(df: DataFrame, path: str) -> None:
+    """Rewrite many small files as few even ones; how many, adaptive execution
+    decides by their size."""
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
