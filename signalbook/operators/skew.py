@@ -19,6 +19,10 @@ SAMPLED_ROWS = 2_000
 #: Ways in which rows with a null key are spread.
 NULL_SPREAD = 512
 
+#: Chunks of heavy keys per task slot of the cluster, at most; beyond that
+#: chunks get longer, as more of them would only multiply shuffle blocks.
+CHUNKS_PER_SLOT = 4
+
 _SEED = 42
 
 
@@ -122,6 +126,8 @@ def range_chunks(df: DataFrame, key: str, order: list[str], rows: int, rows_per_
     size is cut by time.  Sampling may fall out differently when a plan is
     run again, hence the checkpoint: every later pass sees the same chunks.
     """
-    parts = max(1, -(-rows // rows_per_task))
+    spark = df.sparkSession
+    slots = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, min(-(-rows // rows_per_task), CHUNKS_PER_SLOT * slots))
     cut = df.repartitionByRange(parts, key, *order).withColumn("chunk", F.spark_partition_id())
     return checkpointed(cut)

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalbook.operators.dense_index import dense_index
-from signalbook.operators.skew import dimension_join, salted_join
+from signalbook.operators.skew import dimension_join, is_small, salted_join
+from signalbook.operators.top_products import best_of_large, best_of_small
 from signalbook.session import shared_dir
 
 SEED = 42
@@ -68,7 +69,9 @@ def fit_factors(
         rank=rank, maxIter=iterations, regParam=reg, implicitPrefs=False, seed=seed,
         userCol="user", itemCol="song", ratingCol="frequency", coldStartStrategy="drop",
     )
-    return als.setNumBlocks(max(10, _parts(spark))).fit(ratings)
+    # Songs are far fewer than users.
+    users, songs = max(10, _parts(spark)), max(10, _parts(spark) // 8)
+    return als.setNumUserBlocks(users).setNumItemBlocks(songs).fit(ratings)
 
 
 def assign_cohorts(clicks: DataFrame, k: int = 10, seed: int = SEED) -> DataFrame:
@@ -128,17 +131,21 @@ def best_notification(rates: DataFrame) -> DataFrame:
 def top_songs(clicks: DataFrame, n: int = 10, seed: int = SEED) -> DataFrame:
     """The ``n`` songs with the highest predicted frequency for each user."""
     listening, model = _fitted(clicks, seed)
-    best = model.recommendForAllUsers(n).select("user", F.posexplode("recommendations").alias("rank", "_r"))
-    flat = best.select("user", F.col("rank") + 1, F.col("_r.song").alias("song"), F.col("_r.rating").alias("score"))
-    return _named(flat.toDF("user", "rank", "song", "score"), listening)
+    if is_small(model.itemFactors):
+        best = best_of_small(model.userFactors, model.itemFactors, n)
+        return _named(best.withColumnsRenamed({"id": "user", "other": "song"}), listening)
+    best = model.recommendForAllUsers(n).select("user", F.posexplode("recommendations").alias("at", "_r"))
+    return _named(best.select("user", (F.col("at") + 1).alias("rank"), "_r.song", "_r.rating"), listening)
 
 
 def top_listeners(clicks: DataFrame, n: int = 10, seed: int = SEED) -> DataFrame:
     """The ``n`` users with the highest predicted frequency for each song."""
     listening, model = _fitted(clicks, seed)
-    best = model.recommendForAllItems(n).select("song", F.posexplode("recommendations").alias("rank", "_r"))
-    flat = best.select("song", F.col("rank") + 1, F.col("_r.user").alias("user"), F.col("_r.rating").alias("score"))
-    return _named(flat.toDF("song", "rank", "user", "score"), listening)
+    if is_small(model.itemFactors):
+        best = best_of_large(model.userFactors, model.itemFactors, n)
+        return _named(best.withColumnsRenamed({"id": "song", "other": "user"}), listening)
+    best = model.recommendForAllItems(n).select("song", F.posexplode("recommendations").alias("at", "_r"))
+    return _named(best.select("song", (F.col("at") + 1).alias("rank"), "_r.user", "_r.rating"), listening)
 
 
 def _fitted(clicks: DataFrame, seed: int):
@@ -149,6 +156,7 @@ def _fitted(clicks: DataFrame, seed: int):
 
 
 def _named(scored: DataFrame, listening: Listening) -> DataFrame:
+    scored = scored.withColumnRenamed("rating", "score")
     by_song = dimension_join(scored, listening.songs, "song", "inner", spread_by=["user"])
     by_user = dimension_join(by_song, listening.users, "user", "inner", spread_by=["song"])
     return by_user.select("user_id", "song_id", "rank", "score")

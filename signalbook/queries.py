@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from signalbook.operators.latest import newer_than, upsert
 from signalbook.plans import accounts as acc
 from signalbook.plans import cohorts, fraud, rfm
-from signalbook.session import new_dir
+from signalbook.session import checkpointed, new_dir
 from signalbook.sources import tables as t
 from signalbook.sources.tables import table
 from signalbook.streaming import scoring
@@ -93,7 +93,8 @@ def lookup_build(spark: SparkSession, d: str) -> DataFrame:
 
 def incremental_load(spark: SparkSession, d: str) -> DataFrame:
     events = _events(spark, d)
-    loaded = fraud.latest_location(t.history(events)).withColumn("txn_id", F.lit(-1).cast("bigint"))
+    first = fraud.latest_location(t.history(events)).withColumn("txn_id", F.lit(-1).cast("bigint"))
+    loaded = checkpointed(first)  # as the stored table of an earlier load
     fresh = newer_than(t.transactions(events), loaded, "epoch").select(*loaded.columns)
     return upsert(loaded, fresh, "card_id", fraud.ORDER).drop("txn_id")
 

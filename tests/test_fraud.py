@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from signalbook import schemas
 from signalbook.functions.geo import distance_km, too_fast, truncate2
 from signalbook.operators import journey_fold as fold
+from signalbook.operators import skew
 from signalbook.plans import fraud
 
 ZIPS = {"A": (0.0, 0.0), "B": (0.0, 10.0), "C": (45.0, 45.0), "D": (0.0, 0.05)}
@@ -179,6 +180,13 @@ def test_split_cards_give_the_plain_walk(spark, seed, span, per_task):
     assert got == brute_force(rows, state)
 
 
+def test_one_row_per_chunk(spark, monkeypatch):
+    monkeypatch.setattr(skew, "CHUNKS_PER_SLOT", 1000)
+    rows, state = random_walk(6, 3, 60, 9_000)
+    args = tx(spark, rows), lookup(spark, state), zips(spark)
+    assert verdicts(fraud.score_transactions(*args, rows_per_task=1)) == brute_force(rows, state)
+
+
 def test_two_places_in_turn_never_merge(spark):
     """Walks from A and from B stay apart for ever; the split must still find
     the one that is real."""
