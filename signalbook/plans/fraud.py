@@ -155,12 +155,17 @@ def zip_places(zips: DataFrame) -> DataFrame:
 
 
 class Places:
-    """The coordinates of postcodes, with their size checked once."""
+    """The coordinates of postcodes, with their size checked once.  A job that
+    scores many batches makes one and hands it to each."""
 
     def __init__(self, zips: DataFrame):
         self.table = zip_places(zips)
         self.small = is_small(self.table)
 
+    @classmethod
+    def of(cls, zips: DataFrame | Places) -> Places:
+        return zips if isinstance(zips, cls) else cls(zips)
+
     def locate(self, df: DataFrame, prefix: str = "") -> DataFrame:
         """Add the coordinates of ``postcode`` (null where it is unknown)."""
         named = self.table.withColumnsRenamed({"lat": prefix + "lat", "lon": prefix + "lon"})
@@ -170,7 +175,7 @@ class Places:
 def journeys(tx: DataFrame, lookup: DataFrame, zips: DataFrame) -> DataFrame:
     """Each transaction beside its card's lookup row: kilometres, seconds and
     kilometres per second from the last known place."""
-    places = Places(zips)
+    places = Places.of(zips)
     last = places.locate(lookup.withColumn("_known", F.lit(True)), "last_").withColumnsRenamed(
         {"postcode": "last_postcode", "epoch": "last_epoch", "transaction_dt": "last_dt"}
     )
@@ -202,7 +207,7 @@ def apply_rules(tx: DataFrame, lookup: DataFrame, zips: DataFrame) -> DataFrame:
 def score_transactions(
     tx: DataFrame,
     lookup: DataFrame,
-    zips: DataFrame,
+    zips: DataFrame | Places,
     carry: list[str] = TRANSACTION,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
@@ -212,7 +217,7 @@ def score_transactions(
     Transactions and lookup rows meet in one shuffle: the lookup row of a card
     sorts before its transactions and the fold picks it up there.
     """
-    places = Places(zips)
+    places = Places.of(zips)
     placed = places.locate(tx).select(*carry, "lat", "lon")
     lookup = places.locate(lookup).select("card_id", "ucl", "score", "lat", "lon", "epoch")
     light, chunks, heavy = split_heavy(placed, "card_id", ORDER, rows_per_task, keys=tx)

@@ -51,8 +51,9 @@ def start(
     lookup holds.  ``interval=None`` works off what has arrived and stops.
     """
     lookup.select(*LOOKUP.fieldNames()).write.mode("ignore").parquet(_version(store, 0))
+    places = fraud.Places(zips)
     run = partial(
-        score_batch, zips=zips, store=store, version_every=version_every, rows_per_task=rows_per_task
+        score_batch, zips=places, store=store, version_every=version_every, rows_per_task=rows_per_task
     )
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
@@ -66,7 +67,7 @@ def start(
 def score_batch(
     records: DataFrame,
     number: int,
-    zips: DataFrame,
+    zips: DataFrame | fraud.Places,
     store: str,
     version_every: int = VERSION_EVERY,
     rows_per_task: int = ROWS_PER_TASK,
