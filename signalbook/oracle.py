@@ -210,7 +210,17 @@ SELECT {_COLS}, km, secs, speed_rule, amount_rule, score_rule,
             WHEN speed_rule OR amount_rule OR score_rule THEN 'FRAUD' ELSE 'GENUINE' END AS status
 FROM ruled""",
     "fraud_score": _DECISIONS,
-    "stream_fraud": _DECISIONS,
+    "stream_fraud": f"SELECT sha256('transactions|0|' || txn_id) AS decision_id, d.* FROM ({_DECISIONS}) d",
+    "lookup_moved": f"""WITH RECURSIVE {_FOLD},
+last_genuine AS (
+  SELECT a.card_id, a.postcode, a.transaction_dt, a.epoch FROM fold f JOIN arrivals a ON a.txn_id = f.txn_id
+  WHERE f.status = 'GENUINE'
+  QUALIFY row_number() OVER (PARTITION BY a.card_id ORDER BY a.epoch DESC, a.txn_id DESC) = 1)
+SELECT l.card_id, round(l.ucl, 4) AS ucl, l.score,
+       CASE WHEN g.card_id IS NULL THEN l.postcode ELSE g.postcode END AS postcode,
+       CASE WHEN g.card_id IS NULL THEN l.transaction_dt ELSE g.transaction_dt END AS transaction_dt,
+       CASE WHEN g.card_id IS NULL THEN l.epoch ELSE g.epoch END AS epoch
+FROM lookup l LEFT JOIN last_genuine g ON l.card_id = g.card_id""",
     "play_frequency": f"WITH {_CLICKS} SELECT user_id, song_id, count(*) AS frequency FROM clicks GROUP BY ALL",
     "label_index": f"""WITH {_CLICKS},
 counts AS (SELECT user_id, count(DISTINCT song_id) AS n FROM clicks GROUP BY user_id)
@@ -226,6 +236,11 @@ FROM events WHERE event_type = 'click' GROUP BY 1, 2""",
     "cohort_best": f"""WITH {_RATES}
 SELECT cluster, notification_id, clickers, cohort_size, ctr FROM rates
 QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY ctr DESC, notification_id) = 1""",
+    "first_accounts": f"WITH {_CLEAN} SELECT account_id, gender, text1 FROM clean ORDER BY account_id LIMIT 10",
+    "account_counts": """SELECT count(*) AS n_read,
+       count(*) FILTER (WHERE text IS NOT NULL AND lang IS NOT NULL) AS n_whole,
+       count(*) FILTER (WHERE text IS NOT NULL AND lang NOT IN ('unknown', '')) AS n_known,
+       count(*) FILTER (WHERE text <> '' AND lang NOT IN ('unknown', '')) AS n_kept FROM documents""",
     "text_clean": f"WITH {_CLEAN} SELECT account_id, gender, text1 FROM clean",
     "text_tokens": f"""WITH {_TOKENS}
 SELECT account_id, CAST(len(words) AS BIGINT) AS n_tokens, coalesce(array_to_string(words, '|'), '') AS tokens

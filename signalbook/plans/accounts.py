@@ -13,13 +13,34 @@ from signalbook.functions import text as tx
 SEED = 42
 
 
+def _known() -> F.Column:
+    return (F.col("gender") != "unknown") & (F.col("gender") != "")
+
+
+def _written() -> F.Column:
+    # Cleaning keeps the length, so empty texts can be told before it.
+    return F.col("text") != ""
+
+
 def cleaned(accounts: DataFrame) -> DataFrame:
     """``(account_id, gender, text1)`` of the accounts worth training on.  A
     text of symbols alone becomes blanks and stays."""
     whole = accounts.select("account_id", "gender", "text").na.drop("any")
-    known = whole.filter((F.col("gender") != "unknown") & (F.col("gender") != ""))
-    # Cleaning keeps the length, so the empty texts can go before it.
-    return known.filter(F.col("text") != "").select("account_id", "gender", tx.clean(F.col("text")).alias("text1"))
+    return whole.filter(_known() & _written()).select(
+        "account_id", "gender", tx.clean(F.col("text")).alias("text1")
+    )
+
+
+def stage_counts(accounts: DataFrame) -> DataFrame:
+    """Accounts read, without nulls, with a known label, and with a text, all
+    counted in one pass."""
+    whole = F.col("account_id").isNotNull() & F.col("gender").isNotNull() & F.col("text").isNotNull()
+    return accounts.agg(
+        F.count(F.lit(1)).alias("n_read"),
+        F.count_if(whole).alias("n_whole"),
+        F.count_if(whole & _known()).alias("n_known"),
+        F.count_if(whole & _known() & _written()).alias("n_kept"),
+    )
 
 
 def with_tokens(clean: DataFrame) -> DataFrame:

@@ -42,6 +42,17 @@ class Segments:
         self.customers = self.model.transform(points).withColumnRenamed("prediction", "segment").drop("features")
         self._placed = self.model.transform(points)
 
+    def profile(self) -> DataFrame:
+        """Per segment: its customers, its centre, and the silhouette of the
+        whole clustering."""
+        spark = self.customers.sparkSession
+        centres = spark.createDataFrame(
+            [(i, *c) for i, c in enumerate(self.centres())],
+            "segment int, monetary double, frequency double, recency double",
+        )
+        sizes = self.customers.groupBy("segment").agg(F.count(F.lit(1)).alias("customers"))
+        return sizes.join(centres, "segment").withColumn("silhouette", F.lit(self.silhouette()))
+
     def silhouette(self) -> float:
         return ClusteringEvaluator().evaluate(self._placed)
 

@@ -123,7 +123,14 @@ def stream_fraud(spark: SparkSession, d: str) -> DataFrame:
     store = new_dir(spark, "stream_fraud")
     query = scoring.start(t.records(arriving), _lookup(spark, d), _zips(spark, d), store, interval=None)
     query.awaitTermination()
-    return scoring.decisions(spark, store).select(*DECISION)
+    return scoring.decisions(spark, store).select("decision_id", *DECISION)
+
+
+def lookup_moved(spark: SparkSession, d: str) -> DataFrame:
+    """The lookup after all arrivals."""
+    lookup = _lookup(spark, d)
+    scored = fraud.score_transactions(t.arrivals(_events(spark, d)), lookup, _zips(spark, d))
+    return fraud.move_lookup(lookup, fraud.closing_places(scored)).withColumn("ucl", F.round("ucl", 4))
 
 
 # --- cohorts -----------------------------------------------------------------
@@ -185,6 +192,15 @@ def als_rmse(spark: SparkSession, d: str) -> DataFrame:
 # --- accounts ----------------------------------------------------------------
 
 
+def first_accounts(spark: SparkSession, d: str) -> DataFrame:
+    """The first ten accounts that will be trained on, as a report shows them."""
+    return acc.cleaned(_accounts(spark, d)).orderBy("account_id").limit(10)
+
+
+def account_counts(spark: SparkSession, d: str) -> DataFrame:
+    return acc.stage_counts(_accounts(spark, d))
+
+
 def text_clean(spark: SparkSession, d: str) -> DataFrame:
     return acc.cleaned(_accounts(spark, d))
 
@@ -245,6 +261,10 @@ def rfm_segments(spark: SparkSession, d: str) -> DataFrame:
     return rfm.Segments(_rfm(spark, d)).customers
 
 
+def rfm_profile(spark: SparkSession, d: str) -> DataFrame:
+    return rfm.Segments(_rfm(spark, d)).profile()
+
+
 QUERIES = {
     "txn_parse": txn_parse,
     "txn_quarantine": txn_quarantine,
@@ -259,6 +279,7 @@ QUERIES = {
     "fraud_rules": fraud_rules,
     "fraud_score": fraud_score,
     "stream_fraud": stream_fraud,
+    "lookup_moved": lookup_moved,
     "play_frequency": play_frequency,
     "label_index": label_index,
     "cohort_clicks": cohort_clicks,
@@ -270,6 +291,8 @@ QUERIES = {
     "top_songs": top_songs,
     "top_listeners": top_listeners,
     "als_rmse": als_rmse,
+    "first_accounts": first_accounts,
+    "account_counts": account_counts,
     "text_clean": text_clean,
     "text_tokens": text_tokens,
     "text_terms": text_terms,
@@ -280,4 +303,5 @@ QUERIES = {
     "model_comparison": model_comparison,
     "rfm": rfm_values,
     "rfm_segments": rfm_segments,
+    "rfm_profile": rfm_profile,
 }
