@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalbook.functions.stats import mean_of, moments, stddev_pop_of
-from signalbook.operators.skew import ROWS_PER_TASK, split_heavy
+from signalbook.operators.skew import split_heavy
 
 
 def trailing_stats(
@@ -15,7 +15,7 @@ def trailing_stats(
     order: list[str],
     value: str,
     length: int = 10,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Add the count, mean and deviation of ``value`` over each row and the
     ``length - 1`` rows before it of the same key.

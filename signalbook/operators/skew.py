@@ -26,7 +26,7 @@ CHUNKS_PER_SLOT = 4
 _SEED = 42
 
 
-def heavy_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+def heavy_keys(df: DataFrame, key: str, rows_per_task: int | None = None) -> DataFrame | None:
     """``(key, _n, _splits)`` for the keys with more than about
     ``rows_per_task`` rows; None where there is no such key.
 
@@ -36,6 +36,7 @@ def heavy_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> D
     result has fewer than ``rows / rows_per_task`` rows, which bounds it for
     broadcasting, and is checkpointed, as its users must agree on it.
     """
+    rows_per_task = rows_per_task or ROWS_PER_TASK
     step = max(1, rows_per_task // SAMPLED_ROWS)
     keys = df.select(key)
     if step > 1:
@@ -59,7 +60,7 @@ def salted_join(
     key: str,
     how: str = "inner",
     spread_by: list[str] | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """``facts`` joined to ``dim`` (one row per key, any size) on ``key``.
 
@@ -95,12 +96,14 @@ def dimension_join(
     return salted_join(facts, dim, key, how, spread_by)
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether ``df`` has at most ``max_rows`` (:data:`BROADCAST_ROWS`) rows."""
+    max_rows = max_rows or BROADCAST_ROWS
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def split_heavy(
-    df: DataFrame, key: str, order: list[str], rows_per_task: int, keys: DataFrame | None = None
+    df: DataFrame, key: str, order: list[str], rows_per_task: int | None = None, keys: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """``(light, chunks, heavy)``: the rows of keys that fit a task, the rows
     of heavier keys cut by :func:`range_chunks`, and the heavy keys.
@@ -108,6 +111,7 @@ def split_heavy(
     Where no key is heavy the result is ``(df, None, None)``.  ``keys`` is a
     cheaper table with the same keys to count, where ``df`` has been joined.
     """
+    rows_per_task = rows_per_task or ROWS_PER_TASK
     heavy = heavy_keys(df if keys is None else keys, key, rows_per_task)
     if heavy is None:
         return df, None, None

@@ -17,7 +17,7 @@ from signalbook.functions.stats import mean_of, moments, stddev_pop_of
 from signalbook.operators import journey_fold as fold
 from signalbook.operators.latest import newest_rows
 from signalbook.operators.rolling import trailing_stats
-from signalbook.operators.skew import ROWS_PER_TASK, dimension_join, is_small, salted_join, split_heavy
+from signalbook.operators.skew import dimension_join, is_small, salted_join, split_heavy
 from signalbook.schemas import LOOKUP, PAYLOAD
 from signalbook.session import checkpointed
 
@@ -96,7 +96,7 @@ def last_n_stats(tx: DataFrame, n: int = 10, k: float = 3.0) -> DataFrame:
     ).withColumn("ucl", F.col("moving_avg") + F.lit(float(k)) * F.col("moving_std"))
 
 
-def rolling_stats(tx: DataFrame, n: int = 10, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def rolling_stats(tx: DataFrame, n: int = 10, rows_per_task: int | None = None) -> DataFrame:
     """Average and deviation of the ``n`` transactions up to each one."""
     narrow = tx.select("txn_id", "card_id", "amount", "epoch")
     return trailing_stats(narrow, "card_id", ORDER, "amount", n, rows_per_task)
@@ -209,7 +209,7 @@ def score_transactions(
     lookup: DataFrame,
     zips: DataFrame | Places,
     carry: list[str] = TRANSACTION,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Every transaction with its verdict, where a genuine one moves the card
     to its own place and time and a fraud does not.

@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from signalbook.operators.skew import ROWS_PER_TASK
 from signalbook.plans import fraud
 from signalbook.schemas import LOOKUP, MOVES
 from signalbook.sources.topics import identified
@@ -43,7 +42,7 @@ def start(
     store: str,
     interval: str | None = "1 second",
     version_every: int = VERSION_EVERY,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> StreamingQuery:
     """Score the stream ``records`` into ``store``.
 
@@ -70,7 +69,7 @@ def score_batch(
     zips: DataFrame | fraud.Places,
     store: str,
     version_every: int = VERSION_EVERY,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
 ) -> None:
     """Score one micro-batch and record what it changed."""
     spark = records.sparkSession

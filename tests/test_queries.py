@@ -5,6 +5,7 @@ import pytest
 from conftest import ROOT  # noqa: F401
 
 import __spark_entry__ as driver
+from signalbook.operators import skew
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -34,6 +35,16 @@ def test_same_rows_as_sql(spark, duck, tiny, name):
     assert rows_of(df.columns, df.collect()) == rows_of(columns, answer.fetchall())
 
 
+SPLIT = "zip_distance rolling10 fraud_rules fraud_score stream_fraud cohort_clicks click_artist rfm".split()
+
+
+@pytest.mark.parametrize("name", SPLIT)
+def test_same_rows_with_every_key_heavy(spark, duck, tiny, name, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 12)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 3)
+    test_same_rows_as_sql(spark, duck, tiny, name)
+
+
 def test_entry_has_every_arrival(spark, tiny):
     scored = driver.entry(spark)
     assert scored.count() == 302
