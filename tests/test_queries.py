@@ -2,7 +2,6 @@
 
 import duckdb
 import pytest
-from conftest import ROOT  # noqa: F401
 
 import __spark_entry__ as driver
 from signalbook.operators import skew
