@@ -14,7 +14,8 @@ are not merged at all.  *Skip*: once all the documents of a list are known to
 be connected, the list has nothing to add and is skipped.  To get there, each
 list is first merged against one of its members only, which connects a large
 group of copies with as many comparisons as it has members; what remains are
-lists with several components, and there every pair across components counts.
+lists with several components, and there every pair across components counts
+whose sets have enough shingles that occur in more than one component.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from signalbook.llm.store import slices, stored
 
 COORDINATES = 64
 MATCHES = 30
+#: Rounds in which lists are merged against one or two members only.
+STARS = 2
 #: Shingles per step of the signature; keeps a step's arrays in the cache.
 _STEP = 1 << 16
 _rng = np.random.default_rng(7)
@@ -215,29 +218,65 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent:
     return both.filter(100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
 
 
+def _open_lists(sized: DataFrame, sets: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
+    """The postings that can still give a link: ``post``, ``node``, ``n``,
+    ``root``, and ``crossed``, the node's shingles that a set of another
+    component has too.
+
+    A link across components lies within these shingles and covers ``percent``
+    of either set, so a set with fewer of them is out.  That is exact, and it
+    frees the lists from the documents that share a long passage and no more.
+    """
+    if roots is None:
+        rooted = sized.withColumn("root", F.col("node"))
+    else:
+        rooted = sized.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = F.col("least_root") != F.col("greatest_root")
+    span = [F.min("root").alias("least_root"), F.max("root").alias("greatest_root")]
+    mixed_lists = rooted.groupBy("post").agg(*span).filter(several).select("post")
+    rooted = stored(rooted.join(mixed_lists, "post"), "rooted")
+    own = rooted.select("node", "root").distinct()
+    shingles = stored(
+        own.join(sets.select("node", "shingles"), "node").select("node", "root", F.explode("shingles").alias("shingle")),
+        "shingles",
+    )
+    across = shingles.groupBy("shingle").agg(*span).filter(several).select("shingle")
+    crossed = shingles.join(across, "shingle").groupBy("node").agg(F.count(F.lit(1)).alias("crossed"))
+    rooted = rooted.join(crossed, "node").filter(100 * F.col("crossed") >= percent * F.col("n"))
+    return stored(rooted, "open_lists")
+
+
 def _links(sketches: DataFrame, posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    sizes = sets.select("node", "n")
-    sized = stored(posts.join(sizes, "node"), "sized")
-    # Each list against its smallest and its largest member.
-    ends = sized.groupBy("post").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    listed = sized.select("node", "post").join(ends, "post")
-    pair = F.struct(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
-    star = listed.select("node", F.explode(F.array("low", "high")).alias("c")).filter("node <> c")
-    star = star.select(pair.alias("p")).select("p.a", "p.b").distinct()
-    first = stored(_confirmed(star, sketches, sets, percent), "links")
-    # What is left: lists with several components, and in them pairs across components.
-    roots = components(first)
-    rooted = sized.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed_lists = rooted.groupBy("post").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s")
-    left = stored(rooted.join(mixed_lists.select("post"), "post"), "left")
-    x, y = left.alias("x"), left.alias("y")
-    across = x.join(
+    """All links between sets that are not in one component by other links."""
+    sized = posts.join(sets.select("node", "n"), "node")
+    links = roots = tested = None
+    for _ in range(STARS):
+        lists = _open_lists(sized, sets, roots, percent)
+        # Each list against its first member and that with the largest part in common with others.
+        common = F.struct((F.col("crossed") / F.col("n")).alias("part"), "node")
+        centres = lists.groupBy("post").agg(F.min("node").alias("first"), F.max(common).alias("most"))
+        star = lists.select("node", "post", "root").join(
+            centres.select("post", F.explode(F.array("first", "most.node")).alias("centre")), "post"
+        )
+        pair = F.struct(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+        star = star.filter("node <> centre").select(pair.alias("p")).select("p.a", "p.b").distinct()
+        star = stored(star if tested is None else star.join(tested, ["a", "b"], "left_anti"), "star")
+        found = stored(_confirmed(star, sketches, sets, percent), "links")
+        links, tested = (found, star) if links is None else (links.unionAll(found), tested.unionAll(star))
+        roots = components(links)
+    # What is left are pairs across components.  The smaller set of a link has
+    # two shares of the overlap to show where the larger has one of each.
+    lists = _open_lists(sized, sets, roots, percent)
+    smaller = lists.filter((100 + percent) * F.col("crossed") >= 2 * percent * F.col("n")).alias("x")
+    y = lists.alias("y")
+    across = smaller.join(
         y,
         (F.col("x.post") == F.col("y.post"))
-        & (F.col("x.node") < F.col("y.node"))
+        & (F.struct("x.n", "x.node") < F.struct("y.n", "y.node"))
         & (F.col("x.root") != F.col("y.root"))
-        & (100 * F.least(F.col("x.n"), F.col("y.n")) >= percent * F.greatest(F.col("x.n"), F.col("y.n"))),
-    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    rest = across.distinct().join(star, ["a", "b"], "left_anti")
-    second = _confirmed(rest, sketches, sets, percent)
-    return stored(first.unionAll(second), "links")
+        & ((100 + percent) * F.least("x.crossed", "y.crossed") >= percent * (F.col("x.n") + F.col("y.n"))),
+    )
+    pair = F.struct(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    across = across.select(pair.alias("p")).select("p.a", "p.b").distinct()
+    rest = across.join(tested, ["a", "b"], "left_anti")
+    return stored(links.unionAll(_confirmed(rest, sketches, sets, percent)), "links")
