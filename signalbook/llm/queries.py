@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalbook.llm import lang_id, line_rules, mixing, near_dup, packing, sharding
+from signalbook.llm import ann, kn_quality, lang_id, line_rules, mixing, near_dup, packing, sharding, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,15 @@ def line_frequency_rules(spark: SparkSession, d: str) -> DataFrame:
     return line_rules.verdicts(_table(spark, d, "documents"))
 
 
+def warc_derivatives(spark: SparkSession, d: str) -> DataFrame:
+    responses = warc.responses_of(_table(spark, d, "pages"), date="2024-01-01T00:00:00Z")
+    return warc.derivatives(responses, carry="page_id")
+
+
+def projection_forest_search(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest(_table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def segmentation_language_id(spark: SparkSession, d: str) -> DataFrame:
     docs = _table(spark, d, "documents")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
@@ -28,6 +37,16 @@ def segmentation_language_id(spark: SparkSession, d: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def kneser_ney_quality(spark: SparkSession, d: str) -> DataFrame:
+    return kn_quality.filtered(_table(spark, d, "documents"), _table(spark, d, "labels"))
+
+
+def toxicity_chain(spark: SparkSession, d: str) -> DataFrame:
+    docs, labels = _table(spark, d, "documents"), _table(spark, d, "labels")
+    chain = toxicity.fit(docs, labels, ["quality", "toxic"])
+    return toxicity.predict(docs, chain).select("doc_id", "p_quality", "p_toxic", "toxic")
+
+
 def bound_certified_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.packed_documents(_table(spark, d, "documents"), length=2048)
 
@@ -56,7 +75,11 @@ def source_mix(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_near_dedup": minhash_near_dedup,
     "op2_line_frequency_rules": line_frequency_rules,
+    "op3_warc_derivatives": warc_derivatives,
     "op4_segmentation_language_id": segmentation_language_id,
+    "op5_projection_forest_search": projection_forest_search,
+    "op6_kneser_ney_quality": kneser_ney_quality,
+    "op7_toxicity_chain": toxicity_chain,
     "op8_bound_certified_packing": bound_certified_packing,
     "op9_feistel_shards": feistel_shards,
     "op10_source_mix": source_mix,
