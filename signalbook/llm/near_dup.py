@@ -12,10 +12,11 @@ common pairs, one is among all but the ``MATCHES - 1`` most frequent pairs of
 each; the frequent pairs, under which a common passage gathers its documents,
 are not merged at all.  *Skip*: once all the documents of a list are known to
 be connected, the list has nothing to add and is skipped.  To get there, each
-list is first merged against one of its members only, which connects a large
+list is first merged against two of its members only, which connects a large
 group of copies with as many comparisons as it has members; what remains are
 lists with several components, and there every pair across components counts
-whose sets have enough shingles that occur in more than one component.
+whose sets have enough shingles that occur in more than one component, and
+whose parity maps leave room for the overlap.
 """
 
 from __future__ import annotations
@@ -33,8 +34,10 @@ from signalbook.llm.store import slices, stored
 
 COORDINATES = 64
 MATCHES = 30
-#: Rounds in which lists are merged against one or two members only.
-STARS = 2
+#: Bits of a set's parity map: bit ``h`` is whether an odd number of its members
+#: hash to ``h``.  Two sets differ in at least as many members as their maps in
+#: bits, which bounds their overlap without the sets.
+PARITY_BITS = 1024
 #: Shingles per step of the signature; keeps a step's arrays in the cache.
 _STEP = 1 << 16
 _rng = np.random.default_rng(7)
@@ -88,7 +91,16 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         sets, offsets = shingle_sets(batch.column("text"))
         arrays = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(sets.view(np.int64)))
-        yield pa.record_batch([batch.column("node"), pa.array(np.diff(offsets)), arrays], names=["node", "n", "shingles"])
+        bit = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets)) * PARITY_BITS + (
+            (sets >> np.uint64(8)) % np.uint64(PARITY_BITS)
+        ).astype(np.int64)
+        odd = np.bincount(bit, minlength=(len(offsets) - 1) * PARITY_BITS).astype(np.uint8) & 1
+        words = PARITY_BITS // 64
+        maps = pa.array(np.packbits(odd).view(np.int64))
+        parity = pa.ListArray.from_arrays(pa.array(np.arange(len(offsets), dtype=np.int32) * words), maps)
+        yield pa.record_batch(
+            [batch.column("node"), pa.array(np.diff(offsets)), arrays, parity], names=["node", "n", "shingles", "parity"]
+        )
 
 
 def _coordinates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,13 +208,13 @@ def deduplicated(docs: DataFrame, similarity: float = 0.75) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, posts: DataFrame) -> DataFrame:
-    """``node``, ``n``, ``shingles`` of every class that is posted, from the
+    """``node``, ``n``, ``shingles``, ``parity`` of every class that is posted, from the
     text of the document that stands for it."""
     posted = posts.select("node").distinct()
     wanted = classes.join(posted, "node").select("node", "one.doc_id", "one.text_hash")
     same = docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["text_hash"] == wanted["text_hash"])
     texts = docs.join(wanted, same).groupBy("node").agg(F.first("text").alias("text"))
-    return stored(texts.mapInArrow(_set_rows, "node long, n long, shingles array<long>"), "sets")
+    return stored(texts.mapInArrow(_set_rows, "node long, n long, shingles array<long>, parity array<long>"), "sets")
 
 
 def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -249,34 +261,33 @@ def _open_lists(sized: DataFrame, sets: DataFrame, roots: DataFrame | None, perc
 def _links(sketches: DataFrame, posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All links between sets that are not in one component by other links."""
     sized = posts.join(sets.select("node", "n"), "node")
-    links = roots = tested = None
-    for _ in range(STARS):
-        lists = _open_lists(sized, sets, roots, percent)
-        # Each list against its first member and that with the largest part in common with others.
-        common = F.struct((F.col("crossed") / F.col("n")).alias("part"), "node")
-        centres = lists.groupBy("post").agg(F.min("node").alias("first"), F.max(common).alias("most"))
-        star = lists.select("node", "post", "root").join(
-            centres.select("post", F.explode(F.array("first", "most.node")).alias("centre")), "post"
-        )
-        pair = F.struct(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-        star = star.filter("node <> centre").select(pair.alias("p")).select("p.a", "p.b").distinct()
-        star = stored(star if tested is None else star.join(tested, ["a", "b"], "left_anti"), "star")
-        found = stored(_confirmed(star, sketches, sets, percent), "links")
-        links, tested = (found, star) if links is None else (links.unionAll(found), tested.unionAll(star))
-        roots = components(links)
+    lists = _open_lists(sized, sets, None, percent)
+    # Each list against its first member and that with the largest part in common with others.
+    common = F.struct((F.col("crossed") / F.col("n")).alias("part"), "node")
+    centres = lists.groupBy("post").agg(F.min("node").alias("first"), F.max(common).alias("most"))
+    star = lists.select("node", "post").join(
+        centres.select("post", F.explode(F.array("first", "most.node")).alias("centre")), "post"
+    )
+    pair = F.struct(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    star = star.filter("node <> centre").select(pair.alias("p")).select("p.a", "p.b").distinct()
+    star = stored(star, "star")
+    first = stored(_confirmed(star, sketches, sets, percent), "links")
     # What is left are pairs across components.  The smaller set of a link has
     # two shares of the overlap to show where the larger has one of each.
-    lists = _open_lists(sized, sets, roots, percent)
+    lists = _open_lists(sized, sets, components(first), percent).join(sets.select("node", "parity"), "node")
     smaller = lists.filter((100 + percent) * F.col("crossed") >= 2 * percent * F.col("n")).alias("x")
     y = lists.alias("y")
+    total = F.col("x.n") + F.col("y.n")
+    apart = sum(F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i)))) for i in range(PARITY_BITS // 64))
     across = smaller.join(
         y,
         (F.col("x.post") == F.col("y.post"))
         & (F.struct("x.n", "x.node") < F.struct("y.n", "y.node"))
         & (F.col("x.root") != F.col("y.root"))
-        & ((100 + percent) * F.least("x.crossed", "y.crossed") >= percent * (F.col("x.n") + F.col("y.n"))),
+        & ((100 + percent) * F.least("x.crossed", "y.crossed") >= percent * total)
+        & ((100 + percent) * (total - apart) >= 2 * percent * total),
     )
     pair = F.struct(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     across = across.select(pair.alias("p")).select("p.a", "p.b").distinct()
-    rest = across.join(tested, ["a", "b"], "left_anti")
-    return stored(links.unionAll(_confirmed(rest, sketches, sets, percent)), "links")
+    rest = across.join(star, ["a", "b"], "left_anti")
+    return stored(first.unionAll(_confirmed(rest, sketches, sets, percent)), "links")
