@@ -1,7 +1,7 @@
 """Times the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line; each figure is the median of $BENCH_RUNS warm runs, or
-the only warm run where that takes long.
+the only warm run where that takes long; ``runs`` has the number per query.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def main() -> None:
     names = sys.argv[1:] or list(QUERIES)
     spark = local_session("bench", cpus)
     spark.sparkContext.setLogLevel("ERROR")
-    timings = {}
+    timings, counts = {}, {}
     for name in names:
         taken = []
         for _ in range(runs + 1):
@@ -35,6 +35,7 @@ def main() -> None:
             taken.append(time.perf_counter() - begin)
             if len(taken) == 2 and taken[1] > LONG_SECS:
                 break
+        counts[name] = len(taken) - 1
         timings[name] = round(statistics.median(taken[1:]), 3)
         print(name, timings[name], file=sys.stderr, flush=True)
     spark.stop()
@@ -45,7 +46,7 @@ def main() -> None:
         "queries": timings,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": int(cpus),
-        "runs": runs,
+        "runs": counts,
     }
     print(json.dumps(out))
 

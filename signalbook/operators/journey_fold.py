@@ -95,13 +95,15 @@ def decide(keep):
                 if ucl != ucl or score != score:
                     verdicts.append((None, None, None, None, None, "UNKNOWN_CARD"))
                     continue
-                over, poor = amount > ucl, score < SCORE_FLOOR
+                over, poor = (amount > ucl if amount == amount else None), score < SCORE_FLOOR
                 if at is None or la != la:
                     verdicts.append((None, None, None, over, poor, "UNKNOWN_POSTCODE"))
                     continue
                 here = (sine, cosine, lon, epoch, la)
                 km, secs, fast = journey(at, here)
-                if fast or over or poor:
+                if over is None:
+                    verdicts.append((km, secs, fast, over, poor, "UNKNOWN_AMOUNT"))
+                elif fast or over or poor:
                     verdicts.append((km, secs, fast, over, poor, "FRAUD"))
                 else:
                     verdicts.append((km, secs, fast, over, poor, "GENUINE"))

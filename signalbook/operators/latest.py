@@ -17,11 +17,18 @@ def newest_rows(df: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def newer_than(df: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
-    """Rows of ``df`` past the highest ``column`` already loaded (all of them
-    at the first load).  The bound is one value, so the filter reaches the scan."""
+def reload_from(loaded: DataFrame, column: str, overlap: int) -> int | None:
+    """Where the next load begins: ``overlap`` before the highest ``column``
+    loaded so far, so that rows of the boundary and rows that arrive late, by
+    ``overlap`` at most, are read; None before the first load.  One value, so
+    the filter the caller makes of it can reach the scan."""
     seen = loaded.agg(F.max(column)).first()[0]
-    return df if seen is None else df.filter(F.col(column) > F.lit(seen))
+    return None if seen is None else seen - overlap
+
+
+def not_loaded(df: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is not among the loaded ones, each once."""
+    return df.dropDuplicates([key]).join(loaded.select(key), key, "left_anti")
 
 
 def upsert(loaded: DataFrame, fresh: DataFrame, key: str, order: list[str]) -> DataFrame:

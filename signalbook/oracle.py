@@ -179,7 +179,7 @@ SELECT txn_id, card_id, km, secs, CASE WHEN secs = 0 THEN NULL ELSE round(km / s
     "last10_stats": f"""WITH {_TX},
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY card_id ORDER BY epoch DESC, txn_id DESC) AS rn
-  FROM tx WHERE ts < {_CUT})
+  FROM tx)
 SELECT card_id, count(*) AS n, round(avg(amount), 4) AS moving_avg, round(stddev_pop(amount), 4) AS moving_std,
        round(avg(amount) + 3 * stddev_pop(amount), 4) AS ucl
 FROM ranked WHERE rn <= 10 GROUP BY card_id""",
@@ -188,13 +188,15 @@ SELECT txn_id, card_id, count(*) OVER w AS n, round(avg(amount) OVER w, 4) AS mo
        round(stddev_pop(amount) OVER w, 4) AS moving_std
 FROM tx WINDOW w AS (PARTITION BY card_id ORDER BY epoch, txn_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
     "latest_location": f"""WITH {_TX}
-SELECT card_id, postcode, transaction_dt, epoch FROM tx WHERE ts < {_CUT}
+SELECT card_id, postcode, transaction_dt, epoch FROM tx
 QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY epoch DESC, txn_id DESC) = 1""",
     "lookup_build": f"""WITH {_LOOKUP}
 SELECT card_id, round(ucl, 4) AS ucl, score, postcode, transaction_dt, epoch FROM lookup""",
     "incremental_load": f"""WITH {_TX}
 SELECT card_id, postcode, transaction_dt, epoch FROM tx
 QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY epoch DESC, txn_id DESC) = 1""",
+    "incremental_replay": f"""WITH {_LOOKUP.replace(f"FROM tx WHERE ts < {_CUT}", "FROM tx")}
+SELECT card_id, round(ucl, 4) AS ucl, score, postcode, transaction_dt, epoch FROM lookup""",
     "customer_view": f"""WITH {_TX},
 newest AS (
   SELECT * FROM tx QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY epoch DESC, txn_id DESC) = 1)
@@ -264,6 +266,6 @@ FROM once GROUP BY term""",
     ),
     "rfm": """SELECT o_custkey AS "CustomerID",
        CAST(min(date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-02')) AS INTEGER) AS "Recency",
-       count(DISTINCT o_orderkey) AS "Frequency", round(sum(l_quantity * l_extendedprice), 2) AS "Monetary"
+       count(DISTINCT o_orderkey) AS "Frequency", CAST(round(sum(CAST(l_quantity AS DECIMAL(18, 4)) * CAST(l_extendedprice AS DECIMAL(18, 4))), 2) AS DOUBLE) AS "Monetary"
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey""",
 }

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from signalbook.operators.dense_index import dense_index
-from signalbook.operators.skew import dimension_join, is_small, salted_join
-from signalbook.operators.top_products import best_of_large, best_of_small
+from signalbook.operators.skew import dimension_join, salted_join
 from signalbook.session import shared_dir
 
 SEED = 42
@@ -111,6 +110,7 @@ def click_through(cohorts: DataFrame, notification_clicks: DataFrame) -> DataFra
     to, as in a campaign that targets cohorts.
     """
     members = cohorts.select("user_id", "cluster").distinct()
+    # One row per cohort, of which there are as many as the clustering was told to make.
     size = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("cohort_size"))
     # Distinct first: a user then has at most one row per notification.
     clickers = notification_clicks.select("notification_id", "user_id").na.drop("any").distinct()
@@ -119,7 +119,7 @@ def click_through(cohorts: DataFrame, notification_clicks: DataFrame) -> DataFra
         .groupBy("cluster", "notification_id")
         .agg(F.count(F.lit(1)).alias("clickers"))
     )
-    return clicked.join(size, "cluster").withColumn("ctr", F.col("clickers") / F.col("cohort_size"))
+    return clicked.join(F.broadcast(size), "cluster").withColumn("ctr", F.col("clickers") / F.col("cohort_size"))
 
 
 def best_notification(rates: DataFrame) -> DataFrame:
@@ -131,21 +131,21 @@ def best_notification(rates: DataFrame) -> DataFrame:
 def top_songs(clicks: DataFrame, n: int = 10, seed: int = SEED) -> DataFrame:
     """The ``n`` songs with the highest predicted frequency for each user."""
     listening, model = _fitted(clicks, seed)
-    if is_small(model.itemFactors):
-        best = best_of_small(model.userFactors, model.itemFactors, n)
-        return _named(best.withColumnsRenamed({"id": "user", "other": "song"}), listening)
-    best = model.recommendForAllUsers(n).select("user", F.posexplode("recommendations").alias("at", "_r"))
-    return _named(best.select("user", (F.col("at") + 1).alias("rank"), "_r.song", "_r.rating"), listening)
+    best = model.recommendForAllUsers(n).select("user", F.explode("recommendations").alias("_r"))
+    return _named(_ranked(best.select("user", "_r.song", "_r.rating"), "user", "song"), listening)
 
 
 def top_listeners(clicks: DataFrame, n: int = 10, seed: int = SEED) -> DataFrame:
     """The ``n`` users with the highest predicted frequency for each song."""
     listening, model = _fitted(clicks, seed)
-    if is_small(model.itemFactors):
-        best = best_of_large(model.userFactors, model.itemFactors, n)
-        return _named(best.withColumnsRenamed({"id": "song", "other": "user"}), listening)
-    best = model.recommendForAllItems(n).select("song", F.posexplode("recommendations").alias("at", "_r"))
-    return _named(best.select("song", (F.col("at") + 1).alias("rank"), "_r.user", "_r.rating"), listening)
+    best = model.recommendForAllItems(n).select("song", F.explode("recommendations").alias("_r"))
+    return _named(_ranked(best.select("song", "_r.user", "_r.rating"), "song", "user"), listening)
+
+
+def _ranked(best: DataFrame, key: str, other: str) -> DataFrame:
+    """``rank`` by score, equal scores by number."""
+    order = Window.partitionBy(key).orderBy(F.desc("rating"), other)
+    return best.withColumn("rank", F.row_number().over(order))
 
 
 def _fitted(clicks: DataFrame, seed: int):

@@ -65,13 +65,31 @@ def quarantined(parsed: DataFrame) -> DataFrame:
 
 def typed(classified: DataFrame) -> DataFrame:
     """Already classified transactions, read as text, with typed columns and a
-    ``txn_id`` that is the same in every load."""
+    ``txn_id`` that is the same in every load; only rows without a fault."""
+    return _classified(classified).filter("reason is null").drop("reason", "value")
+
+
+def typed_faults(classified: DataFrame) -> DataFrame:
+    """The other rows: ``txn_id``, the row as JSON and its fault."""
+    return _classified(classified).filter("reason is not null").select("txn_id", "value", "reason")
+
+
+def _classified(classified: DataFrame) -> DataFrame:
     fields = PAYLOAD.fieldNames()
+    amount = F.when(F.col("amount").rlike("^[+-]?[0-9]+$"), F.col("amount").try_cast("int"))
+    epoch = parse_epoch(F.col("transaction_dt"))
+    reason = (
+        F.when(F.greatest(*[F.col(n).isNull() for n in fields]), "MISSING_FIELD")
+        .when(amount.isNull(), "BAD_AMOUNT")
+        .when(epoch.isNull(), "BAD_DATE")
+    )
     return classified.select(
         F.xxhash64(*fields).alias("txn_id"),
-        *[F.col("amount").try_cast("int").alias(n) if n == "amount" else n for n in fields],
-        parse_epoch(F.col("transaction_dt")).alias("epoch"),
+        *[amount.alias(n) if n == "amount" else n for n in fields],
+        epoch.alias("epoch"),
         "status",
+        F.to_json(F.struct(*fields, "status")).alias("value"),
+        reason.alias("reason"),
     )
 
 
@@ -150,7 +168,12 @@ def zip_places(zips: DataFrame) -> DataFrame:
         zips.groupBy("zip")
         .agg(F.max("lat").alias("lat"), F.max("lon").alias("lon"), once.cast("string").alias("_dup"))
         .filter("_dup is null")
-        .select(F.col("zip").alias("postcode"), "lat", "lon")
+        # Half a place is none.
+        .select(
+            F.col("zip").alias("postcode"),
+            F.when(F.col("lon").isNotNull(), F.col("lat")).alias("lat"),
+            F.when(F.col("lat").isNotNull(), F.col("lon")).alias("lon"),
+        )
     )
 
 
@@ -189,7 +212,12 @@ def journeys(tx: DataFrame, lookup: DataFrame, zips: DataFrame) -> DataFrame:
 def apply_rules(tx: DataFrame, lookup: DataFrame, zips: DataFrame) -> DataFrame:
     """The rules of each transaction against the lookup as it stands, without
     moving it."""
-    unknown = F.when(F.col("_known").isNull(), "UNKNOWN_CARD").when(F.col("km").isNull(), "UNKNOWN_POSTCODE")
+    no_card = F.col("_known").isNull() | F.col("ucl").isNull() | F.col("score").isNull()
+    unknown = (
+        F.when(no_card, "UNKNOWN_CARD")
+        .when(F.col("km").isNull(), "UNKNOWN_POSTCODE")
+        .when(F.col("amount").isNull(), "UNKNOWN_AMOUNT")
+    )
     ruled = journeys(tx, lookup, zips).withColumns(
         {
             "speed_rule": too_fast(F.col("km"), F.col("secs")),
@@ -250,7 +278,9 @@ def _chunk_starts(chunks: DataFrame, lookup: DataFrame) -> DataFrame:
     ``lookup`` holds the heavy cards only, so it is broadcast.  All tables
     here but ``chunks`` have a few rows per chunk.
     """
-    refused = (F.col("amount") > F.col("ucl")) | (F.col("score") < F.lit(fold.SCORE_FLOOR)) | F.col("lat").isNull()
+    # What cannot be judged moves nothing, like a fraud.
+    refused = F.coalesce((F.col("amount") > F.col("ucl")) | (F.col("score") < F.lit(fold.SCORE_FLOOR)), F.lit(True))
+    refused = refused | F.col("lat").isNull()
     movable = lookup.filter("lat is not null and ucl is not null and score is not null")
     walk = (
         chunks.select("card_id", "chunk", "amount", "lat", "lon", *ORDER)

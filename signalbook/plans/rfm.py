@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
 INVOICE_DATE_FORMAT = "MM/dd/yyyy HH:mm"  # fixed value
 
 
+def money(column: str) -> Column:
+    """Exact, so no order of adding up shows in a sum."""
+    return F.col(column).cast("decimal(18,4)")
+
+
 def rfm(retail: DataFrame, as_of: str) -> DataFrame:
     """Per customer: days since the newest invoice, number of invoices, and
     money spent, in one pass over the order lines.
@@ -23,12 +28,12 @@ def rfm(retail: DataFrame, as_of: str) -> DataFrame:
     invoices = (
         retail.na.drop("any")
         .groupBy("CustomerID", "InvoiceNo")
-        .agg(F.sum(F.col("Quantity") * F.col("UnitPrice")).alias("_spent"), F.min(days).alias("_days"))
+        .agg(F.sum(money("Quantity") * money("UnitPrice")).alias("_spent"), F.min(days).alias("_days"))
     )
     return invoices.groupBy("CustomerID").agg(
         F.min("_days").alias("Recency"),
         F.count(F.lit(1)).alias("Frequency"),
-        F.round(F.sum("_spent"), 2).alias("Monetary"),
+        F.round(F.sum("_spent"), 2).cast("double").alias("Monetary"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalbook.operators.latest import newer_than, upsert
+from signalbook.operators.latest import not_loaded, reload_from, upsert
 from signalbook.plans import accounts as acc
 from signalbook.plans import cohorts, fraud, rfm
 from signalbook.session import checkpointed, new_dir
@@ -16,6 +16,9 @@ from signalbook.streaming import scoring
 DECISION = [*fraud.TRANSACTION, "km", "secs", "speed_rule", "amount_rule", "score_rule", "status"]
 
 
+DAY = 86_400
+
+
 def _events(spark, d):
     return table(spark, d, "events")
 
@@ -72,7 +75,7 @@ def txn_speed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def last10_stats(spark: SparkSession, d: str) -> DataFrame:
-    stats = fraud.last_n_stats(t.history(_events(spark, d)))
+    stats = fraud.last_n_stats(t.transactions(_events(spark, d)))
     return stats.select(
         "card_id", "n", *[F.round(c, 4).alias(c) for c in ("moving_avg", "moving_std", "ucl")]
     )
@@ -84,7 +87,7 @@ def rolling10(spark: SparkSession, d: str) -> DataFrame:
 
 
 def latest_location(spark: SparkSession, d: str) -> DataFrame:
-    return fraud.latest_location(t.history(_events(spark, d)))
+    return fraud.latest_location(t.transactions(_events(spark, d)))
 
 
 def lookup_build(spark: SparkSession, d: str) -> DataFrame:
@@ -95,10 +98,24 @@ def incremental_load(spark: SparkSession, d: str) -> DataFrame:
     events = _events(spark, d)
     first = fraud.latest_location(t.history(events)).withColumn("txn_id", F.lit(-1).cast("bigint"))
     loaded = checkpointed(first)  # as the stored table of an earlier load
-    fresh = newer_than(t.transactions(events), loaded, "epoch").select(*loaded.columns)
+    since = t.events_since(events, reload_from(loaded, "epoch", overlap=DAY))
+    fresh = t.transactions(since).select(*loaded.columns)
     return upsert(loaded, fresh, "card_id", fraud.ORDER).drop("txn_id")
 
 
+def incremental_replay(spark: SparkSession, d: str) -> DataFrame:
+    """The lookup, limits and scores included, after two loads of which the
+    second brings rows of the boundary and of the day before it that were late."""
+    events = _events(spark, d)
+    late = (F.col("ts") >= F.expr(f"timestamp_ntz'{t.CUTOFF}' - interval 1 day")) & (F.col("event_id") % 3 == 0)
+    loaded = checkpointed(t.transactions(t.before(events, t.CUTOFF).filter(~late)))  # an earlier load
+    since = t.events_since(events, reload_from(loaded, "epoch", overlap=DAY))
+    fresh = not_loaded(t.transactions(since), loaded, "txn_id")
+    customer = table(spark, d, "customer")
+    lookup = fraud.build_lookup(loaded.unionByName(fresh), t.card_members(customer), t.member_scores(customer))
+    return lookup.withColumn("ucl", F.round("ucl", 4))
+
+
 def customer_view(spark: SparkSession, d: str) -> DataFrame:
     customer = table(spark, d, "customer")
     return fraud.customer_view(
@@ -173,6 +190,25 @@ def cohort_best(spark: SparkSession, d: str) -> DataFrame:
     return cohorts.best_notification(_rates(spark, d))
 
 
+def fitted_cohort_clicks(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks beside the fitted cohort of their listener, as counts."""
+    clicks = _clicks(spark, d)
+    joined = cohorts.cohort_clicks(clicks, cohorts.assign_cohorts(clicks))
+    return joined.groupBy("cluster", "user_id").agg(F.count(F.lit(1)).alias("clicks"))
+
+
+def fitted_cohort_ctr(spark: SparkSession, d: str) -> DataFrame:
+    """Rates of notifications per fitted cohort."""
+    fitted = cohorts.assign_cohorts(_clicks(spark, d))
+    return cohorts.click_through(fitted, t.notification_clicks(_events(spark, d)))
+
+
+def frequency_with_cohort(spark: SparkSession, d: str) -> DataFrame:
+    """Play counts beside the fitted cohort of their listener."""
+    clicks = _clicks(spark, d)
+    return cohorts.play_frequency(clicks).join(cohorts.assign_cohorts(clicks), "user_id")
+
+
 def cohort_assign(spark: SparkSession, d: str) -> DataFrame:
     return cohorts.assign_cohorts(_clicks(spark, d))
 
@@ -275,6 +311,7 @@ QUERIES = {
     "latest_location": latest_location,
     "lookup_build": lookup_build,
     "incremental_load": incremental_load,
+    "incremental_replay": incremental_replay,
     "customer_view": customer_view,
     "fraud_rules": fraud_rules,
     "fraud_score": fraud_score,
@@ -283,6 +320,9 @@ QUERIES = {
     "play_frequency": play_frequency,
     "label_index": label_index,
     "cohort_clicks": cohort_clicks,
+    "fitted_cohort_clicks": fitted_cohort_clicks,
+    "fitted_cohort_ctr": fitted_cohort_ctr,
+    "frequency_with_cohort": frequency_with_cohort,
     "click_artist": click_artist,
     "notification_clicks": notification_clicks,
     "cohort_ctr": cohort_ctr,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,18 @@ def transactions(events: DataFrame) -> DataFrame:
     )
 
 
+def events_since(events: DataFrame, epoch: int | None) -> DataFrame:
+    """Events from an instant on, by a filter on the raw column, which the scan can use."""
+    if epoch is None:
+        return events
+    at = datetime.fromtimestamp(epoch, timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    return events.filter(F.col("ts") >= F.lit(at).cast("timestamp_ntz"))
+
+
+def before(events: DataFrame, instant: str) -> DataFrame:
+    return events.filter(F.col("ts") < F.lit(instant).cast("timestamp_ntz"))
+
+
 def history(events: DataFrame) -> DataFrame:
     return transactions(events.filter(F.col("ts") < F.lit(CUTOFF).cast("timestamp_ntz")))
 

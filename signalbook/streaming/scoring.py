@@ -9,6 +9,7 @@ its rows is split over tasks there too.  What a store holds:
 ``quarantine``      records that could not be read, by batch
 ``counts``          records per verdict or fault, by batch
 ``moves``           by batch: the new place and time of the cards that moved
+``seen``            by batch: the highest offset taken per topic and partition
 ``lookup``          by version: the whole lookup as it stood before a batch
 ==================  =========================================================
 
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from signalbook.operators.journey_fold import DECISION_FIELDS
 from signalbook.plans import fraud
 from signalbook.schemas import LOOKUP, MOVES
 from signalbook.sources.topics import identified
@@ -32,8 +34,15 @@ from signalbook.sources.topics import identified
 #: A new version of the lookup is written every so many batches.
 VERSION_EVERY = 100
 
+SEEN = "topic string, partition int, offset bigint"
 CARRY = ["decision_id", *fraud.TRANSACTION]
 
+#: What :func:`decisions` returns, batch and event date from the folders.
+DECISIONS = (
+    "decision_id string, txn_id bigint, card_id string, member_id string, amount int, postcode string, pos_id string, "
+    f"transaction_dt string, epoch bigint, {DECISION_FIELDS}, batch int, event_date date"
+)
+
 
 def start(
     records: DataFrame,
@@ -73,7 +82,8 @@ def score_batch(
 ) -> None:
     """Score one micro-batch and record what it changed."""
     spark = records.sparkSession
-    parsed = fraud.parse_payloads(identified(records)).persist()
+    new = unseen(records, _seen_before(spark, store, number))
+    parsed = fraud.parse_payloads(identified(new)).persist()
     good = parsed.filter("reason is null").select(*CARRY)
     lookup = fraud.cards_in(good, lookup_before(spark, store, number, version_every))
     scored = fraud.score_transactions(good, lookup, zips, CARRY, rows_per_task)
@@ -92,9 +102,31 @@ def score_batch(
     per_status = stored.groupBy("status").count()
     per_fault = refused.groupBy(F.col("reason").alias("status")).count()
     per_status.unionByName(per_fault).write.mode("overwrite").parquet(f"{store}/counts/batch={number}")
+    seen = _seen_before(spark, store, number).unionAll(_highest(records))
+    seen.groupBy("topic", "partition").agg(F.max("offset").alias("offset")).write.mode("overwrite").parquet(_seen(store, number))
     parsed.unpersist()
 
 
+def unseen(records: DataFrame, seen: DataFrame) -> DataFrame:
+    """Records past the highest offset that earlier batches took of their
+    partition, each once; a source that reads its topic again adds nothing."""
+    high = seen.select("topic", "partition", F.col("offset").alias("_high"))
+    past = F.col("_high").isNull() | (F.col("offset") > F.col("_high"))
+    fresh = records.join(F.broadcast(high), ["topic", "partition"], "left").filter(past).drop("_high")
+    return fresh.dropDuplicates(["topic", "partition", "offset"])
+
+
+def _highest(records: DataFrame) -> DataFrame:
+    """One row per topic and partition."""
+    return records.groupBy("topic", "partition").agg(F.max("offset").cast("bigint").alias("offset"))
+
+
+def _seen_before(spark: SparkSession, store: str, number: int) -> DataFrame:
+    if number == 0:
+        return spark.createDataFrame([], SEEN)
+    return spark.read.schema(SEEN).parquet(_seen(store, number - 1))
+
+
 def lookup_before(spark: SparkSession, store: str, number: int, version_every: int = VERSION_EVERY) -> DataFrame:
     """The lookup as it stands before batch ``number``."""
     version = number - number % version_every
@@ -120,12 +152,16 @@ def _replay(spark: SparkSession, store: str, version: int, number: int) -> DataF
 
 def decisions(spark: SparkSession, store: str) -> DataFrame:
     """All verdicts so far."""
-    return spark.read.parquet(f"{store}/decisions")
+    return spark.read.schema(DECISIONS).parquet(f"{store}/decisions")
 
 
 def _version(store: str, number: int) -> str:
     return f"{store}/lookup/version={number}"
 
 
+def _seen(store: str, number: int) -> str:
+    return f"{store}/seen/batch={number}"
+
+
 def _moves(store: str, number: int) -> str:
     return f"{store}/moves/batch={number}"

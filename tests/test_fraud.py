@@ -104,6 +104,28 @@ def test_hand_made_cases_in_both_scorers(spark):
     assert brute_force(rows, state) == expected
 
 
+@pytest.mark.parametrize("per_task", [None, 3])
+def test_what_is_missing_is_unknown_in_all_scorers(spark, per_task):
+    cases = [(None, 100.0, 300.0, "UNKNOWN_AMOUNT"), (1, None, 300.0, "UNKNOWN_CARD"), (1, 100.0, None, "UNKNOWN_CARD")]
+    rows, state, expected = [], [], {}
+    for c, (amount, ucl, score, status) in enumerate(cases):
+        state.append((f"c{c}", ucl, score, "A", T0))
+        for k in range(12):  # enough to be cut into chunks
+            rows.append((100 * c + k, f"c{c}", amount, "A", T0 + 9 * k))
+            expected[100 * c + k] = status
+    args = tx(spark, rows), lookup(spark, state), zips(spark)
+    assert verdicts(fraud.score_transactions(*args, rows_per_task=per_task)) == expected
+    assert verdicts(fraud.apply_rules(*args)) == expected
+
+
+@pytest.mark.parametrize("per_task", [None, 3])
+def test_half_a_place_is_none(spark, per_task):
+    rows = [(k, "c", 1, "H", T0 + 9 * k) for k in range(9)]
+    args = tx(spark, rows), lookup(spark, [("c", 100.0, 300.0, "A", T0)]), zips(spark, [("H", 1.0, None, None, None, None)])
+    assert set(verdicts(fraud.score_transactions(*args, rows_per_task=per_task)).values()) == {"UNKNOWN_POSTCODE"}
+    assert set(verdicts(fraud.apply_rules(*args)).values()) == {"UNKNOWN_POSTCODE"}
+
+
 def test_speed_limit_is_inclusive(spark):
     exact = spark.range(1).select(
         too_fast(F.lit(0.25), F.lit(1)).alias("at"),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalbook.operators.dense_index import dense_index
-from signalbook.operators.latest import newer_than, newest_rows, upsert
+from signalbook.operators.latest import newest_rows, not_loaded, reload_from, upsert
 from signalbook.operators.skew import dimension_join, heavy_keys, is_small, range_chunks, salted_join
 
 
@@ -77,12 +77,22 @@ def test_newest_rows_limit_before_the_shuffle(facts):
 
 
 def test_loads_after_the_first(spark):
-    loaded = spark.createDataFrame([("a", 1, "x"), ("b", 5, "y")], "k string, at int, v string")
-    source = spark.createDataFrame(
-        [("a", 1, "x"), ("b", 5, "y"), ("a", 6, "z"), ("c", 7, "w")], "k string, at int, v string"
-    )
-    fresh = newer_than(source, loaded, "at")
-    assert sorted(r.at for r in fresh.collect()) == [6, 7]
-    assert newer_than(source, loaded.limit(0), "at").count() == 4
+    kind = "id int, k string, at int, v string"
+    loaded = spark.createDataFrame([(1, "a", 1, "x"), (2, "b", 5, "y")], kind)
+    # A new row, one of the boundary, one that is late, and a repeated one.
+    more = [(3, "a", 6, "z"), (4, "c", 5, "w"), (5, "d", 4, "v"), (5, "d", 4, "v")]
+    source = loaded.unionAll(spark.createDataFrame(more, kind))
+    bound = reload_from(loaded, "at", overlap=2)
+    assert bound == 3 and reload_from(loaded.limit(0), "at", overlap=2) is None
+    fresh = not_loaded(source.filter(source["at"] >= bound), loaded, "id")
+    assert sorted(r.id for r in fresh.collect()) == [3, 4, 5]
+    fresh, loaded = fresh.drop("id"), loaded.drop("id")
     got = sorted(tuple(r) for r in upsert(loaded, fresh, "k", ["at"]).collect())
-    assert got == [("a", 6, "z"), ("b", 5, "y"), ("c", 7, "w")]
+    assert got == [("a", 6, "z"), ("b", 5, "y"), ("c", 5, "w"), ("d", 4, "v")]
+
+
+def test_the_bound_of_a_load_reaches_the_scan(spark, tiny):
+    from signalbook.sources import tables
+
+    rows = tables.transactions(tables.events_since(tables.table(spark, tiny, "events"), 1705708800))
+    assert "GreaterThanOrEqual(ts" in rows._jdf.queryExecution().executedPlan().toString()

@@ -50,6 +50,10 @@ def test_zips_and_classified_transactions(spark, tmp_path):
     loaded = files.classified_transactions(spark, write(tmp_path / "t.csv", body))
     row = fraud.typed(loaded).first()
     assert (row.amount, row.epoch, row.status) == (30, 1518307200, "GENUINE")
+    bad = body + "1,2,12.5,00601,9,11-02-2018 00:00:00,FRAUD\n1,2,3,00601,9,garbage,FRAUD\n1,,3,4,5,6,FRAUD\n"
+    rows = files.classified_transactions(spark, write(tmp_path / "bad.csv", bad))
+    assert fraud.typed(rows).count() == 1
+    assert [r.reason for r in fraud.typed_faults(rows).collect()] == ["BAD_AMOUNT", "BAD_DATE", "MISSING_FIELD"]
     files.compact(loaded, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).collect() == loaded.collect()
 
