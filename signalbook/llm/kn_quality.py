@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 
 from signalbook.llm.store import slices, stored
 
-ORDER = 5
+ORDER = 4
+#: So many different letters or pairs still have a table of their squares.
+_FEW = 4096
 #: Stands before the first character of a text.
 PAD = "\x02"
 #: Of the trusted documents, one in ``FOLDS`` is not trained on and sets the thresholds.
@@ -37,48 +39,72 @@ _PLACES = 1 << 21  # code points end below
 
 
 class Grams:
-    """The n-grams of a column of texts, by number.  ``number[i]`` is the
-    n-gram that ends at the i-th character, ``sizes`` the characters per text.
-    White space counts as one blank per run."""
+    """The n-grams of a column of texts, by number.  ``keys[i]`` is the n-gram
+    that ends at the i-th character, ``sizes`` the characters per text.  White
+    space counts as one blank per run.
+
+    An n-gram is two pairs of characters; the pairs that occur are numbered,
+    so a pair of pairs is a place in a small table, and counting and looking
+    up need no sort.
+    """
 
     def __init__(self, texts: pa.Array) -> None:
         plain = pc.replace_substring_regex(pc.fill_null(texts.cast(pa.large_string()), ""), r"[\s\x00\x02]+", " ")
         self.sizes = pc.utf8_length(plain).to_numpy(zero_copy_only=False).astype(np.int64)
         pads = PAD * (ORDER - 1)
         codes = np.frombuffer((pads + pads.join(plain.to_pylist())).encode("utf-32-le"), dtype=np.uint32)
+        self.rows = np.repeat(np.arange(len(self.sizes)), self.sizes)
         present = np.zeros(_PLACES, bool)
         present[codes] = True
         self.letters = np.flatnonzero(present).astype(np.uint32)
-        self.bits = max(1, int(len(self.letters) - 1).bit_length()) if len(self.letters) else 1
-        begins = np.concatenate(([0], np.cumsum(self.sizes + ORDER - 1)[:-1])) if len(self.sizes) else np.zeros(0, np.int64)
-        before = np.concatenate(([0], np.cumsum(self.sizes)[:-1])) if len(self.sizes) else np.zeros(0, np.int64)
-        starts = np.arange(self.sizes.sum()) + np.repeat(begins - before, self.sizes)
-        self.rows = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.packed = self.bits * ORDER <= 62
-        windows = np.lib.stride_tricks.sliding_window_view(codes, ORDER) if len(starts) else codes[:0].reshape(0, ORDER)
-        self.keys = self._keys(windows)[starts]
-
-    def _keys(self, windows: np.ndarray) -> np.ndarray:
-        """The characters' ranks in one integer; with too many different
-        characters for that, the n-grams themselves."""
-        if not self.packed:
-            return np.ascontiguousarray(windows, dtype="<u4").view(f"<U{ORDER}").ravel()
         rank = np.zeros(_PLACES, np.int64)
         rank[self.letters] = np.arange(len(self.letters))
-        keys = np.zeros(len(windows), np.int64)
-        for k in range(ORDER):
-            keys = (keys << self.bits) | rank[windows[:, k]]
-        return keys
+        letter = rank[codes]
+        pairs = letter[:-1] * len(self.letters) + letter[1:]
+        if len(self.letters) <= _FEW:
+            used = np.zeros(len(self.letters) ** 2, bool)
+            used[pairs] = True
+            self.pairs = np.flatnonzero(used)
+            number = np.cumsum(used) - 1
+            pairs = number[pairs]
+        else:
+            self.pairs, pairs = np.unique(pairs, return_inverse=True)
+        # A text's windows begin at its pads, which are shared with no other text.
+        shift = np.repeat(np.arange(len(self.sizes)) * (ORDER - 1), self.sizes)
+        starts = np.arange(len(self.rows)) + shift
+        self.keys = pairs[starts] * len(self.pairs) + pairs[starts + 2] if len(starts) else np.zeros(0, np.int64)
+        self.direct = len(self.pairs) <= _FEW
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The n-grams that occur and how often."""
+        if not self.direct:
+            return np.unique(self.keys, return_counts=True)
+        n = np.bincount(self.keys, minlength=1)
+        keys = np.flatnonzero(n)
+        return keys, n[keys]
 
     def spelled(self, keys: np.ndarray) -> list[str]:
-        if not self.packed:
-            return keys.tolist()
-        mask = (1 << self.bits) - 1
-        columns = [self.letters[(keys >> (self.bits * (ORDER - 1 - k))) & mask] for k in range(ORDER)]
-        return np.stack(columns, axis=1).astype("<u4").view(f"<U{ORDER}").ravel().tolist() if len(keys) else []
-
-    def keys_of(self, grams: list[str]) -> np.ndarray:
-        return self._keys(np.array(grams, dtype=f"<U{ORDER}").view("<u4").reshape(-1, ORDER))
+        if not len(keys):
+            return []
+        ends = self.pairs[keys // len(self.pairs)], self.pairs[keys % len(self.pairs)]
+        columns = [self.letters[x] for pair in ends for x in (pair // len(self.letters), pair % len(self.letters))]
+        return np.stack(columns, axis=1).astype("<u4").view(f"<U{ORDER}").ravel().tolist()
+
+    def looked_up(self, grams: list[str], values: np.ndarray) -> np.ndarray:
+        """The value of the n-gram at every character; NaN where it is not given."""
+        if not len(self.keys):
+            return np.zeros(0)
+        codes = np.array(grams, dtype=f"<U{ORDER}").view("<u4").reshape(-1, ORDER)
+        letter = np.searchsorted(self.letters, codes)
+        ends = [np.searchsorted(self.pairs, letter[:, k] * len(self.letters) + letter[:, k + 1]) for k in (0, 2)]
+        keys = ends[0] * len(self.pairs) + ends[1]
+        if self.direct:
+            table = np.full(len(self.pairs) ** 2, np.nan)
+            table[keys] = values
+            return table[self.keys]
+        order = np.argsort(keys)
+        place = np.minimum(np.searchsorted(keys[order], self.keys), max(0, len(keys) - 1))
+        return np.where(keys[order][place] == self.keys, values[order][place], np.nan) if len(keys) else np.full(len(self.keys), np.nan)
 
 
 def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -91,14 +117,14 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBa
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, batch in _small(batches):
         grams = Grams(batch.column("text"))
-        keys, n = np.unique(grams.keys, return_counts=True)
+        keys, n = grams.counted()
         yield pa.record_batch([pa.array(grams.spelled(keys), pa.string()), pa.array(n)], names=["gram", "n"])
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, batch in _small(batches):
         grams = Grams(batch.column("text"))
-        own = grams.spelled(np.unique(grams.keys))
+        own = grams.spelled(grams.counted()[0])
         yield pa.record_batch([pa.array(np.full(len(own), block)), pa.array(own, pa.string())], names=["block", "gram"])
 
 
@@ -116,13 +142,9 @@ def _summed(_key, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     for data in blocks["data"]:
         batch = pa.ipc.open_stream(data).read_all().combine_chunks().to_batches()[0]
         grams = Grams(batch.column("text"))
-        known = grams.keys_of(answers["gram"].tolist())
-        order = np.argsort(known)
-        known = known[order]
-        place = np.searchsorted(known, grams.keys)
-        if len(grams.keys) and (not len(known) or (known[np.minimum(place, len(known) - 1)] != grams.keys).any()):
+        logs = grams.looked_up(answers["gram"].tolist(), answers["log_p"].to_numpy(dtype=float))
+        if np.isnan(logs).any():
             raise ValueError("a block came back with other documents than it asked for")
-        logs = answers["log_p"].to_numpy()[order][place] if len(grams.keys) else np.zeros(0)
         sums = np.bincount(grams.rows, logs, minlength=len(grams.sizes))
         ppl = np.exp(-sums / np.maximum(grams.sizes, 1))
         frame = pd.DataFrame({"doc_id": batch.column("doc_id").to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)})
@@ -208,7 +230,7 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text", "lang").join(trusted, F.col("doc_id") == F.col("trusted"), "left")
     docs = docs.select("doc_id", "text", "lang", F.when(F.col("trusted").isNotNull(), fold).alias("held"))
     model = Model(docs.filter("not held"))
-    asked = docs.mapInArrow(_asked, "block long, gram string")
+    asked = stored(docs.mapInArrow(_asked, "block long, gram string"), "asked")
     answers = asked.join(model.log_probabilities(asked), "gram").groupBy("block")
     blocks = docs.mapInArrow(_kept_blocks, "block long, data binary").groupBy("block")
     return blocks.cogroup(answers).applyInPandas(
