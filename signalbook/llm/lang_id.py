@@ -31,6 +31,8 @@ _BREAKS = r"[^\p{L}\p{M}]+"
 _LONG = 40
 #: Every byte's share in a probability is scaled by this, to stay in range.
 _SCALE = 64.0
+#: Bytes of text that share their distinct words' scores.
+_SLICE = 1 << 23
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -141,8 +143,8 @@ def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     lengths = np.array([len(w) for w in words])
     for length in np.unique(lengths[lengths <= _LONG]):
         at = np.flatnonzero(lengths == length)
-        for i in range(0, len(at), 20_000):
-            part = at[i : i + 20_000]
+        for i in range(0, len(at), 5_000):
+            part = at[i : i + 5_000]
             rows = np.frombuffer(b"".join(words[j] for j in part), np.uint8).reshape(-1, length)
             yield part, rows
 
@@ -161,7 +163,7 @@ def _spelled(dictionary: pa.Array) -> list[bytes]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", _SLICE):
         words, rows = words_of(batch.column("text"))
         lang = batch.column("lang").dictionary_encode()
         n_words = len(words.dictionary)
@@ -256,7 +258,7 @@ def scores(texts: pa.Array, pieces: Pieces, table: np.ndarray) -> tuple[np.ndarr
 def _predictions(path: str, langs: list[str], table: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SLICE):
             logs, n = scores(batch.column("text"), pieces, table)
             if langs:
                 odds = np.exp(logs - logs.max(axis=1, keepdims=True))

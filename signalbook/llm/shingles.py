@@ -9,7 +9,7 @@ import pyarrow as pa
 
 WORDS = 5
 #: Bytes hashed at once; longer texts are cut at a space, never inside a word.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 _rng = np.random.default_rng(20240607)
 _ODD = np.uint64(1)

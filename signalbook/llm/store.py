@@ -44,7 +44,7 @@ def document_columns(docs: DataFrame) -> DataFrame:
     )
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of a slice hold about ``size`` bytes;
     a longer text is a slice of its own."""
     for batch in batches:
