@@ -119,15 +119,14 @@ def decide(keep):
 
 
 # A heavy card is cut into chunks that are walked at the same time, although
-# a chunk's verdicts depend on the place its predecessor ends at.  Each chunk
-# is therefore first walked from every place it might start from, which tells
-# the end that belongs to each start; then the ends are strung together.  The
-# walk stays cheap: two starts become one at the first row that can be reached
-# from both.
+# a chunk's verdicts depend on the place its predecessor ends at.  Each chunk is
+# therefore first walked from a few places it probably starts from, and again
+# from ends its predecessor turned out to have, until these ends can be strung
+# together from the card's own start.  Two walks become one at the first row
+# that can be reached from both.
 
-#: No journey takes longer than this without being possible: half the way
-#: around the earth at the speed limit.
-REACH_SECS = 180.0 * MINUTES_PER_DEGREE * STATUTE_PER_NAUTICAL * KM_PER_MILE / SPEED_LIMIT
+#: Places a chunk is walked from at once.
+WALKS = 32
 
 ENDS_SCHEMA = "card_id string, chunk int, lat double, lon double, epoch bigint"
 STEP_SCHEMA = ENDS_SCHEMA + ", to_lat double, to_lon double, to_epoch bigint"
@@ -136,7 +135,8 @@ WALK_INPUT = ["card_id", "chunk", "kind", "epoch", "lat", "lon", "blocked"]
 
 
 def steps(batches):
-    """Where each chunk ends for each place it may start from."""
+    """Where each chunk ends, for each place it is said to start from
+    (:data:`WALKS` at most)."""
     names = ["card_id", "chunk", "lat", "lon", "epoch", "to_lat", "to_lon", "to_epoch"]
     types = [pa.string(), pa.int32()] + [pa.float64(), pa.float64(), pa.int64()] * 2
 
@@ -155,7 +155,7 @@ def steps(batches):
         if kind == START:
             start = place(lat, lon, epoch)
             held.setdefault(start, []).append(start)
-        elif not blocked:
+        elif not blocked and held:
             here = place(lat, lon, epoch)
             moved = [p for p in held if not journey(p, here)[2]]
             if moved:
@@ -167,31 +167,10 @@ def steps(batches):
         yield found(key, held)
 
 
-def allowed_starts(pdf):
-    """For one card's chunks in order: the places each may start from.
-
-    The input has, per chunk, the newest row at each place of the rows that
-    could be genuine (a row without place where there is none), and the card's
-    own start as chunk -1.  Among rows at one place only the newest counts, as
-    whoever was there before has moved on by then; and so has whoever is out
-    of reach of the newest row of all.
-    """
-    known, out = {}, []
-    for chunk, group in pdf.groupby("chunk", sort=True):
-        if chunk >= 0:
-            out += [(chunk, *p) for p in known.values()]
-        fresh = list(group[["lat", "lon", "epoch"]].dropna().itertuples(index=False, name=None))
-        known.update((p[:2], p) for p in fresh)
-        newest = max((p[2] for p in fresh), default=None)
-        if newest is not None:
-            known = {k: p for k, p in known.items() if abs(newest - p[2]) <= REACH_SECS}
-    frame = type(pdf)(out, columns=["chunk", "lat", "lon", "epoch"]).astype({"chunk": "int32", "epoch": "int64"})
-    frame.insert(0, "card_id", pdf["card_id"].iloc[0])
-    return frame
-
-
 def true_starts(pdf):
-    """For one card's chunks in order: the place each does start from."""
+    """For one card's chunks in order: the place each does start from, as far
+    as the walks made so far tell.  The input has one row per walk of a chunk,
+    and the card's own start as chunk -1."""
     at, out = None, []
     for chunk, group in pdf.groupby("chunk", sort=True):
         rows = list(group.drop(columns=["card_id", "chunk"]).itertuples(index=False, name=None))
@@ -199,7 +178,9 @@ def true_starts(pdf):
             at = rows[0][:3]
             continue
         out.append((chunk, *at))
-        at = next(r[3:] for r in rows if r[:3] == at)
+        at = next((r[3:] for r in rows if r[:3] == at), None)
+        if at is None:
+            break
     frame = type(pdf)(out, columns=["chunk", "lat", "lon", "epoch"]).astype({"chunk": "int32", "epoch": "int64"})
     frame.insert(0, "card_id", pdf["card_id"].iloc[0])
     return frame

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def newest_rows(df: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
+def newest_rows(df: DataFrame, key: str | list[str], order: list[str], n: int) -> DataFrame:
     """At most ``n`` newest rows per key, with their ``rank`` (1 = newest).
 
     The rank limit is applied in each map task before the shuffle

@@ -7,7 +7,7 @@ transactions of a card.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -275,8 +275,7 @@ def _with_starts(rows: DataFrame, starts: DataFrame) -> DataFrame:
 def _chunk_starts(chunks: DataFrame, lookup: DataFrame) -> DataFrame:
     """The lookup row each chunk of a heavy card starts from.
 
-    ``lookup`` holds the heavy cards only, so it is broadcast.  All tables
-    here but ``chunks`` have a few rows per chunk.
+    ``lookup`` holds the heavy cards only, so it is broadcast.
     """
     # What cannot be judged moves nothing, like a fraud.
     refused = F.coalesce((F.col("amount") > F.col("ucl")) | (F.col("score") < F.lit(fold.SCORE_FLOOR)), F.lit(True))
@@ -288,19 +287,8 @@ def _chunk_starts(chunks: DataFrame, lookup: DataFrame) -> DataFrame:
         .select("card_id", "chunk", *ORDER, "lat", "lon", refused.alias("blocked"))
     )
     first = movable.select("card_id", F.lit(-1).alias("chunk"), "lat", "lon", "epoch")
-
+    true = _strung(walk, first).withColumnsRenamed({"lat": "_lat", "lon": "_lon", "epoch": "_epoch"})
     every = chunks.select("card_id", "chunk").distinct()
-
-    newest = walk.filter(~F.col("blocked")).groupBy("card_id", "chunk", "lat", "lon").agg(F.max("epoch").alias("epoch"))
-    ends = newest.unionByName(every, allowMissingColumns=True).unionByName(first)
-    allowed = ends.groupBy("card_id").applyInPandas(fold.allowed_starts, fold.ENDS_SCHEMA)
-    taken = _with_starts(walk, allowed).mapInArrow(fold.steps, fold.STEP_SCHEMA)
-    true = (
-        taken.unionByName(first, allowMissingColumns=True)
-        .groupBy("card_id")
-        .applyInPandas(fold.true_starts, fold.ENDS_SCHEMA)
-        .withColumnsRenamed({"lat": "_lat", "lon": "_lon", "epoch": "_epoch"})
-    )
     return (
         every.join(F.broadcast(lookup), "card_id")
         .join(true, ["card_id", "chunk"], "left")
@@ -309,6 +297,61 @@ def _chunk_starts(chunks: DataFrame, lookup: DataFrame) -> DataFrame:
     )
 
 
+def _strung(walk: DataFrame, first: DataFrame) -> DataFrame:
+    """The place each chunk of ``walk`` starts from, given each card's own
+    start ``first`` (chunk -1).
+
+    Whoever ends a chunk at a place is at the newest row there that nothing
+    blocks.  So a chunk is first walked from the ``WALKS`` newest such places of
+    the chunk before it; then, in every round, from the ends of its predecessor
+    that it has not been walked from, all chunks at the same time.  A card with
+    few places needs one round.  With more, walks that were started wrong meet
+    the right one, the sooner the fewer rows the card has a day, and two or
+    three rounds do if that takes less than a chunk; the number of chunks
+    bounds the rounds.  A round costs ``WALKS`` journeys a row at most, whatever
+    the number of places.  What is kept between rounds has ``WALKS`` rows a
+    chunk and round, and the number of chunks is bounded by the slots of the
+    cluster.
+    """
+    at = ["lat", "lon", "epoch"]
+    newest = walk.filter(~F.col("blocked")).groupBy("card_id", "chunk", "lat", "lon").agg(F.max("epoch").alias("epoch"))
+    latest = newest_rows(newest, ["card_id", "chunk"], ["epoch", "lat", "lon"], fold.WALKS)
+    likely = latest.unionByName(first, allowMissingColumns=True).groupBy("card_id", "chunk")
+    likely = likely.agg(F.collect_list(F.struct(*at)).alias("likely"))
+    every = walk.select("card_id", "chunk").unionAll(first.select("card_id", "chunk")).distinct()
+    in_order = Window.partitionBy("card_id").orderBy("chunk")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    guessed = checkpointed(
+        every.join(likely, ["card_id", "chunk"], "left").select(
+            "card_id",
+            "chunk",
+            F.last("likely", ignorenulls=True).over(before).alias("likely"),
+            F.lead("chunk").over(in_order).alias("following"),
+        )
+    )
+    order = guessed.select("card_id", "chunk", "following").filter("following is not null")
+    guessed = guessed.filter("chunk >= 0")
+    chunks, known = guessed.count(), None
+    starts = guessed.select("card_id", "chunk", F.inline("likely"))
+    while True:
+        rows = walk.join(F.broadcast(starts.select("card_id", "chunk").distinct()), ["card_id", "chunk"], "left_semi")
+        walked = checkpointed(_with_starts(rows, starts).mapInArrow(fold.steps, fold.STEP_SCHEMA))
+        known = walked if known is None else checkpointed(known.unionAll(walked))
+        true = checkpointed(
+            known.unionByName(first, allowMissingColumns=True)
+            .groupBy("card_id")
+            .applyInPandas(fold.true_starts, fold.ENDS_SCHEMA)
+        )
+        # Whoever reaches the last chunk of a card knows its start, walked or not.
+        if true.count() == chunks:
+            return true
+        ended = walked.join(F.broadcast(order), ["card_id", "chunk"]).select(
+            "card_id", F.col("following").alias("chunk"), *[F.col("to_" + n).alias(n) for n in at]
+        )
+        tried = known.select("card_id", "chunk", *at)
+        starts = checkpointed(ended.distinct().join(tried, tried.columns, "left_anti"))
+
+
 def closing_places(decisions: DataFrame) -> DataFrame:
     """Where each card stands afterwards: its newest genuine transaction."""
     genuine = decisions.filter(F.col("status") == "GENUINE")

@@ -221,6 +221,30 @@ def test_two_places_in_turn_never_merge(spark):
         assert got == brute_force(rows, state)
 
 
+def test_many_places_take_few_rounds(spark, monkeypatch):
+    """A card with 2,000 places: far more than a chunk is walked from."""
+    rng = random.Random(11)
+    grid = [(f"p{i}", rng.uniform(-60, 60), rng.uniform(-170, 170), None, None, None) for i in range(2_000)]
+    rows = [(i, "c", 10, rng.choice(grid)[0], T0 + 600 * i + rng.randrange(600)) for i in range(20_000)]
+    args = tx(spark, rows).repartition(4), lookup(spark, [("c", 100.0, 300.0, "p0", T0)]), zips(spark, grid)
+    plain = verdicts(fraud.score_transactions(*args))
+    walks = []
+    with_starts = fraud._with_starts
+    monkeypatch.setattr(fraud, "_with_starts", lambda r, s: walks.append(s.count()) or with_starts(r, s))
+    assert verdicts(fraud.score_transactions(*args, rows_per_task=1_000)) == plain
+    assert {"FRAUD", "GENUINE"} == set(plain.values())
+    # One more is for the verdicts, from the true starts.
+    assert len(walks) <= 6 and max(walks) <= fold.WALKS * skew.CHUNKS_PER_SLOT * 8
+
+
+def test_regions_in_turn_take_a_round_each(spark):
+    """Several walks that never meet, with the one that is real seldom the newest."""
+    rows = [(i, "c", 10, "ABBB"[i % 4], T0 + 60 * i) for i in range(240)]
+    state = [("c", 100.0, 300.0, "A", T0 - 10)]
+    got = verdicts(fraud.score_transactions(tx(spark, rows), lookup(spark, state), zips(spark), rows_per_task=9))
+    assert got == brute_force(rows, state)
+
+
 def test_split_rolling_stats(spark):
     rows, _ = random_walk(7, 4, 300, 5_000)
     df = tx(spark, rows)
