@@ -39,7 +39,6 @@ _LINK = re.compile(
     r"(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))",
     re.I,
 )
-_BLANKS = re.compile(r"[^\S\n]+")
 
 
 def digest(data: bytes) -> str:
@@ -54,8 +53,12 @@ def record_id(*parts: str) -> str:
 def plain_text(page: str) -> str:
     """The text of a page: no markup, scripts, styles or comments; one line per
     block, blanks run together, empty lines dropped."""
-    text = _TAG.sub("", _BLOCKS.sub("\n", _HIDDEN.sub(" ", page)))
-    lines = (_BLANKS.sub(" ", line).strip() for line in entities.unescape(text).split("\n"))
+    return _text_of(_HIDDEN.sub(" ", page))
+
+
+def _text_of(shown: str) -> str:
+    text = _TAG.sub("", _BLOCKS.sub("\n", shown))
+    lines = (" ".join(line.split()) for line in entities.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
@@ -94,7 +97,8 @@ def derived(record: dict) -> list[dict]:
     block = record["block"] or b""
     status, http, body = split_http(block)
     page = _decoded(http, body)
-    title = _TITLE.search(_HIDDEN.sub(" ", page))
+    shown = _HIDDEN.sub(" ", page)
+    title = _TITLE.search(shown)
     given = {n.lower(): v for n, v in headers}
     block_digest = given.get("warc-block-digest") or digest(block)
     payload_digest = given.get("warc-payload-digest") or digest(body)
@@ -116,7 +120,7 @@ def derived(record: dict) -> list[dict]:
     }
     contents = (
         ("metadata", "application/json", json.dumps({"Envelope": envelope}, ensure_ascii=False)),
-        ("conversion", "text/plain", plain_text(page)),
+        ("conversion", "text/plain", _text_of(shown)),
     )
     out = []
     for kind, content_type, content in contents:
