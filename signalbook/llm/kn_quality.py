@@ -1,5 +1,8 @@
 """Perplexity of documents under an interpolated modified Kneser-Ney model of
-characters, trained on trusted text.
+subwords, trained on trusted text.
+
+A text is first written as one character per subword of a public vocabulary;
+everything after that counts characters.  An n-gram of four is one number.
 
 Counts are tables keyed by n-gram, spread over the cluster.  Documents are
 handled in blocks of a few megabytes: a block asks once for each n-gram in it,
@@ -17,13 +20,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalbook.llm.packing import encoding
 from signalbook.llm.store import slices, stored
 
 ORDER = 4
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: The subword with number 0 is this character; white space and ``PAD`` are below.
+_FIRST = 256
+#: Bits of a character in the number of an n-gram.
+_BITS = 16
 #: So many different letters or pairs still have a table of their squares.
 _FEW = 4096
 #: Stands before the first character of a text.
@@ -31,8 +41,6 @@ PAD = "\x02"
 #: Of the trusted documents, one in ``FOLDS`` is not trained on and sets the thresholds.
 FOLDS = 5
 QUANTILE = 0.995
-#: A document is rejected above its language's quantile times this.
-SLACK = 2.0
 #: Trusted ids up to this many are broadcast, about 64 MB; more are joined by shuffle.
 BROADCAST_ROWS = 4_000_000
 _PLACES = 1 << 21  # code points end below
@@ -83,14 +91,27 @@ class Grams:
         keys = np.flatnonzero(n)
         return keys, n[keys]
 
+    def _columns(self, keys: np.ndarray) -> list[np.ndarray]:
+        ends = self.pairs[keys // len(self.pairs)], self.pairs[keys % len(self.pairs)]
+        return [self.letters[x] for pair in ends for x in (pair // len(self.letters), pair % len(self.letters))]
+
     def spelled(self, keys: np.ndarray) -> list[str]:
         if not len(keys):
             return []
-        ends = self.pairs[keys // len(self.pairs)], self.pairs[keys % len(self.pairs)]
-        columns = [self.letters[x] for pair in ends for x in (pair // len(self.letters), pair % len(self.letters))]
-        return np.stack(columns, axis=1).astype("<u4").view(f"<U{ORDER}").ravel().tolist()
+        return np.stack(self._columns(keys), axis=1).astype("<u4").view(f"<U{ORDER}").ravel().tolist()
 
-    def looked_up(self, grams: list[str], values: np.ndarray) -> np.ndarray:
+    def numbers(self, keys: np.ndarray) -> np.ndarray:
+        """The n-grams as numbers, their last character in the lowest bits."""
+        if not len(keys):
+            return np.zeros(0, np.int64)
+        if int(self.letters[-1]) >> _BITS:
+            raise ValueError(f"a character needs more than {_BITS} bits")
+        out = np.zeros(len(keys), np.uint64)
+        for column in self._columns(keys):
+            out = out << np.uint64(_BITS) | column.astype(np.uint64)
+        return out.view(np.int64)
+
+    def looked_up(self, grams: list[str] | np.ndarray, values: np.ndarray) -> np.ndarray:
         """The value of the n-gram at every character; NaN where it is not given."""
         if not len(self.keys):
             return np.zeros(0)
@@ -107,10 +128,28 @@ class Grams:
         return np.where(keys[order][place] == self.keys, values[order][place], np.nan) if len(keys) else np.full(len(self.keys), np.nan)
 
 
+def spelled(numbers: np.ndarray) -> np.ndarray:
+    """The n-grams of these numbers as strings."""
+    whole = numbers.astype(np.int64).view(np.uint64)
+    columns = [whole >> np.uint64(_BITS * k) & np.uint64((1 << _BITS) - 1) for k in range(ORDER - 1, -1, -1)]
+    return np.stack(columns, axis=1).astype("<u4").view(f"<U{ORDER}").ravel()
+
+
+def _subwords(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts as one character per subword; white space counts as one blank per run."""
+    encode = encoding(public_tokenizers.path(VOCABULARY)).encode_ordinary
+    for batch in slices(batches, "text"):
+        at = batch.schema.get_field_index("text")
+        plain = pc.replace_substring_regex(batch.column(at).cast(pa.large_string()), r"[\s\x00\x02]+", " ")
+        ids = [None if text is None else np.array(encode(text), dtype="<u4") + _FIRST for text in plain.to_pylist()]
+        out = [None if i is None else i.astype("<u4").tobytes().decode("utf-32-le") for i in ids]
+        yield batch.set_column(at, "text", pa.array(out, pa.string()))
+
+
 def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
     """Blocks of the task with a number that no other block has; the same
     tasks over the same files give the same blocks."""
-    for i, batch in enumerate(slices(batches, "text", 1 << 22)):
+    for i, batch in enumerate(slices(batches, "text", 1 << 20)):
         yield (TaskContext.get().partitionId() << 24) + i, batch
 
 
@@ -118,14 +157,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, batch in _small(batches):
         grams = Grams(batch.column("text"))
         keys, n = grams.counted()
-        yield pa.record_batch([pa.array(grams.spelled(keys), pa.string()), pa.array(n)], names=["gram", "n"])
+        yield pa.record_batch([pa.array(grams.numbers(keys)), pa.array(n)], names=["gram", "n"])
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, batch in _small(batches):
         grams = Grams(batch.column("text"))
-        own = grams.spelled(grams.counted()[0])
-        yield pa.record_batch([pa.array(np.full(len(own), block)), pa.array(own, pa.string())], names=["block", "gram"])
+        own = grams.numbers(grams.counted()[0])
+        yield pa.record_batch([pa.array(np.full(len(own), block)), pa.array(own)], names=["block", "gram"])
 
 
 def _kept_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +181,7 @@ def _summed(_key, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     for data in blocks["data"]:
         batch = pa.ipc.open_stream(data).read_all().combine_chunks().to_batches()[0]
         grams = Grams(batch.column("text"))
-        logs = grams.looked_up(answers["gram"].tolist(), answers["log_p"].to_numpy(dtype=float))
+        logs = grams.looked_up(spelled(answers["gram"].to_numpy()), answers["log_p"].to_numpy(dtype=float))
         if np.isnan(logs).any():
             raise ValueError("a block came back with other documents than it asked for")
         sums = np.bincount(grams.rows, logs, minlength=len(grams.sizes))
@@ -155,25 +194,35 @@ def _summed(_key, blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "lang", "held", "n_scored", "perplexity"])
 
 
+def _last(k: int) -> Column:
+    """The last ``k`` characters of ``gram``."""
+    return F.col("gram").bitwiseAND(F.lit((1 << _BITS * k) - 1).cast("long"))
+
+
+def _before_last() -> Column:
+    """All but the last character of ``gram``; 0 if there is no other."""
+    return F.shiftrightunsigned("gram", _BITS)
+
+
 class Model:
     """The counts of every order as tables: ``grams[k]`` (``gram``, ``n``) and
     ``contexts[k]`` (``context``, ``total``, ``share``: what its n-grams give
     to the lower order), with the discounts of counts 1, 2 and more."""
 
     def __init__(self, texts: DataFrame) -> None:
-        counts = texts.select("text").mapInArrow(_counted, "gram string, n long")
+        counts = texts.select("text").mapInArrow(_counted, "gram long, n long")
         own = stored(counts.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
         self.grams, self.contexts, self.discounts = {ORDER: own}, {}, {}
         for k in range(ORDER - 1, 0, -1):
             longer = self.grams[k + 1]
             # Lower orders count the different characters before an n-gram.
-            shorter = longer.groupBy(F.substring("gram", 2, k).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+            shorter = longer.groupBy(_last(k).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
             self.grams[k] = stored(shorter, "grams")
         for k, grams in self.grams.items():
             some = [F.count(F.when(F.col("n") == c, 1)) for c in (1, 2, 3, 4)]
             self.discounts[k] = discounts(*grams.agg(*some).first())
             off = self.discount(k)
-            context = F.substring("gram", 1, k - 1).alias("context") if k > 1 else F.lit("").alias("context")
+            context = _before_last().alias("context")
             self.contexts[k] = grams.groupBy(context).agg(
                 F.sum("n").cast("double").alias("total"), (F.sum(off) / F.sum("n")).alias("share")
             )
@@ -189,15 +238,15 @@ class Model:
         letters = self.grams[1].count() + 1
         wanted = {ORDER: stored(asked.select("gram").distinct(), "asked")}
         for k in range(ORDER - 1, 0, -1):
-            wanted[k] = wanted[k + 1].select(F.substring("gram", 2, k).alias("gram")).distinct()
+            wanted[k] = wanted[k + 1].select(_last(k).alias("gram")).distinct()
         total, share = (first.total, first.share) if first else (1.0, 1.0)
         kept = F.coalesce(F.col("n") - self.discount(1), F.lit(0.0)) / total
         p = wanted[1].join(self.grams[1], "gram", "left").select("gram", (kept + share / letters).alias("p"))
         for k in range(2, ORDER + 1):
             lower = p.select(F.col("gram").alias("ending"), F.col("p").alias("lower"))
             rows = (
-                wanted[k].withColumn("ending", F.substring("gram", 2, k - 1))
-                .withColumn("context", F.substring("gram", 1, k - 1))
+                wanted[k].withColumn("ending", _last(k - 1))
+                .withColumn("context", _before_last())
                 .join(lower, "ending")
                 .join(self.contexts[k], "context", "left")
                 .join(self.grams[k], "gram", "left")
@@ -220,7 +269,8 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``lang``, ``held``, ``n_scored``, ``perplexity`` per row of
-    ``docs``.  Trusted are the documents that ``labels`` give quality 1 and
+    ``docs``, by the characters of ``text``, each of which has at most 16 bits.
+    Trusted are the documents that ``labels`` give quality 1 and
     never another; ``held`` marks those of them that the model did not see."""
     trusted = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1 and doc_id is not null")
     trusted = trusted.select(F.col("doc_id").alias("trusted"))
@@ -230,7 +280,7 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text", "lang").join(trusted, F.col("doc_id") == F.col("trusted"), "left")
     docs = docs.select("doc_id", "text", "lang", F.when(F.col("trusted").isNotNull(), fold).alias("held"))
     model = Model(docs.filter("not held"))
-    asked = stored(docs.mapInArrow(_asked, "block long, gram string"), "asked")
+    asked = stored(docs.mapInArrow(_asked, "block long, gram long"), "asked")
     answers = asked.join(model.log_probabilities(asked), "gram").groupBy("block")
     blocks = docs.mapInArrow(_kept_blocks, "block long, data binary").groupBy("block")
     return blocks.cogroup(answers).applyInPandas(
@@ -239,17 +289,18 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Adds ``threshold`` and ``kept`` to the perplexities.
+    """Adds ``threshold`` and ``kept`` to the perplexities by subwords, of
+    which a text has ``n_scored``.
 
-    A language's threshold is the quantile over its held trusted documents,
-    times the slack; a language without any, null included, takes that of all.
+    A language's threshold is the quantile over its held trusted documents; a language without any, null included, takes that of all.
     Without trusted documents nothing is rejected but texts without characters,
     which have no perplexity.
     """
-    scored = stored(perplexities(docs, labels), "perplexities")
+    docs = docs.select("doc_id", "text", "lang").mapInArrow(_subwords, "doc_id long, text string, lang string")
+    scored = stored(perplexities(stored(docs, "subwords"), labels), "perplexities")
     scored = scored.withColumn("perplexity", F.when(F.col("n_scored") > 0, F.col("perplexity")))
     held = scored.filter("held and perplexity is not null")
-    quantile = F.percentile_approx("perplexity", QUANTILE, 10_000) * SLACK
+    quantile = F.percentile_approx("perplexity", QUANTILE, 10_000)
     by_lang = held.filter("lang is not null").groupBy("lang").agg(quantile.alias("own"))
     of_all = held.agg(quantile.alias("common")).first().common
     limit = F.coalesce("own", F.lit(of_all).cast("double"))

@@ -325,6 +325,29 @@ def test_many_different_characters():
         assert (grams.looked_up(list(own), n) == n[np.searchsorted(keys, grams.keys)]).all()
 
 
+def test_model_sees_the_order_of_words(spark):
+    words = [f"{a}{b}" for a in ("stone", "river", "cloud", "green") for b in ("wall", "side", "light", "field")]
+    rng = np.random.default_rng(0)
+    line = " ".join(rng.permutation(words))
+    texts = [f"{line} {words[i % 16]}" for i in range(60)]
+    back = " ".join(line.split()[::-1]) + f" {words[0]}"  # the same words and nearly the same characters
+    rows = [(i, t, "en") for i, t in enumerate([*texts, back])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int")
+    found = {r.doc_id: r for r in kn_quality.filtered(docs, labels).collect()}
+    encode = packing.encoding(public_tokenizers.path(kn_quality.VOCABULARY)).encode_ordinary
+    assert [found[i].n_scored for i in range(61)] == [len(encode(t)) for _, t, _ in rows]
+    assert all(found[i].kept for i in range(60)) and not found[60].kept
+    assert found[60].threshold <= max(found[i].perplexity for i in range(60))
+
+
+def test_numbers_of_ngrams():
+    texts = pa.array(["ab\uc4ff\u0100b", "", "ba"])
+    grams = kn_quality.Grams(texts)
+    keys, _ = grams.counted()
+    assert kn_quality.spelled(grams.numbers(keys)).tolist() == grams.spelled(keys)
+
+
 # --- toxicity ----------------------------------------------------------------------------------
 
 
