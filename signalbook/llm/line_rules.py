@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from signalbook.llm.store import with_value, words_of
 
 WINDOW = 5
-#: A line is boilerplate of its host in more than ``MIN_DOCS`` distinct texts
-#: and more than ``SHARE`` of the host's distinct texts.
+#: A line is boilerplate of its host in more than ``MIN_DOCS`` distinct texts,
+#: however large the host.
 MIN_DOCS = 20
+#: Read by the SQL twin only, which also asks for more than this share of the
+#: host's distinct texts; from 2,000 texts a host on that leaves lines in.
 SHARE = 0.01
 #: A document is depleted if its boilerplate lines hold more than this share of its words.
 MOST_REMOVED = 0.7
@@ -91,7 +93,7 @@ def _normal_lines(text: Column) -> Column:
 
 def line_frequency(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The lines of every distinct text of a host (``host``, ``text_hash``,
-    ``at``, ``line_hash``, ``n_words``), and the lines above the limits
+    ``at``, ``line_hash``, ``n_words``), and the lines above the limit
     (``host``, ``line_hash``, ``n_docs``).
 
     Exact copies of a text count as one document, so copies alone make no line
@@ -106,19 +108,14 @@ def line_frequency(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = lines.select(
         "host", "text_hash", "at", F.xxhash64("line").alias("line_hash"), (blanks + 1).cast("bigint").alias("n_words")
     ).distinct()
-    texts = docs.select(
-        F.coalesce("source", F.lit("\x00")).alias("host"), F.xxhash64("text").alias("text_hash")
-    )
-    host_sizes = texts.distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    frequency = (
+    common = (
         lines.select("host", "line_hash", "text_hash")
         .distinct()
         .groupBy("host", "line_hash")
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .filter(F.col("n_docs") > MIN_DOCS)
     )
-    common = frequency.join(host_sizes, "host").filter(F.col("n_docs") > SHARE * F.col("host_docs"))
-    return lines, common.select("host", "line_hash", "n_docs")
+    return lines, common
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:

@@ -144,6 +144,16 @@ def test_boilerplate_lines_go(spark, monkeypatch):
     assert texts[0].n_chars == len(texts[0].text) and texts[60].text == rows[7][1]
 
 
+def test_boilerplate_of_a_large_host(spark):
+    name = F.translate(F.col("doc_id").cast("string"), "0123456789", "abcdefghij")
+    text = F.concat(F.lit(f"{PROSE} as story "), name)
+    text = F.when(F.col("doc_id") < 22, F.concat(text, F.lit("\nall rights reserved"))).otherwise(text)
+    text = F.when(F.col("doc_id") < 20, F.concat(text, F.lit("\nread it again"))).otherwise(text)
+    docs = spark.range(4400).select(F.col("id").alias("doc_id")).withColumn("text", text).withColumn("source", F.lit("a"))
+    found = {r.doc_id: r.removed_words for r in line_rules.verdicts(docs).collect()}
+    assert {i: n for i, n in found.items() if n} == dict.fromkeys(range(22), 3)
+
+
 def test_repeated_words_by_brute_force(spark):
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice(list("abc"), n)) for n in (3, 5, 8, 20, 60)] + ["a b c d e " * 7]
