@@ -10,9 +10,11 @@ a round's packing counts only if it saves sequences.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -34,11 +36,15 @@ _MOST_K = 60
 
 @lru_cache(2)
 def encoding(path: str) -> tiktoken.Encoding:
-    """The tokenizer of a file with one base64 piece and its id per line; the
-    same ids as the JSON file of the same vocabulary gives."""
+    """The tokenizer of a file with one base64 piece and its id per line, and
+    the added tokens of the JSON file of the same name, if there is one.
+    ``encode`` with all special tokens allowed gives the ids of that file."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    listed = Path(path).with_suffix(".json")
+    added = json.loads(listed.read_text("utf-8"))["added_tokens"] if listed.exists() else []
+    special = {token["content"]: token["id"] for token in added}
+    return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def cuts(n: int, length: int) -> list[tuple[int, int]]:
@@ -51,7 +57,7 @@ def cuts(n: int, length: int) -> list[tuple[int, int]]:
 
 def _pieces(path: str, length: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path).encode_ordinary
+        encode = partial(encoding(path).encode, allowed_special="all")
         for batch in slices(batches, "text"):
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -71,7 +77,7 @@ def tokenised(docs: DataFrame, length: int, path: str | None = None) -> DataFram
     """The pieces of every document (``doc_id``, ``piece``, ``start``,
     ``length``, ``ids_crc32``, unique ``item``), stored.
 
-    Strings of special tokens are ordinary text; a null text is empty and has
+    The string of an added token is that token; a null text is empty and has
     the end id alone; only a document longer than ``length`` is cut.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")

@@ -435,6 +435,17 @@ def test_tokenizer_reads_its_file():
     assert base64.b64decode(b"IQ==") == b"!"
 
 
+def test_added_token_in_a_text(spark):
+    texts = ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>", "a <|endoftext|", "  <|endoftext|>\n x"]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in packing.packed_documents(docs).collect()}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]
+        assert rows[i].length == len(ids) and rows[i].ids_crc32 == zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+    assert rows[0].length == 5
+
+
 # --- shards and mixture --------------------------------------------------------------------------------
 
 
