@@ -123,9 +123,32 @@ FROM c
 """
 
 
+#: Every window of a text by its bytes in hex; those that occur twice join to runs.
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+part AS (SELECT r, b, substr(h, CAST(1024 * b + 1 AS BIGINT), 1822) AS h
+  FROM (SELECT r, h, unnest(range((len(h) // 2 - 400) // 512 + 1)) AS b FROM d WHERE len(h) >= 800)),
+w AS (SELECT r, 512 * b + j AS i, md5_number(substr(h, CAST(2 * j + 1 AS BIGINT), 800)) AS k
+  FROM (SELECT *, unnest(range(least(512, len(h) // 2 - 399))) AS j FROM part)),
+twice AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+s AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS p FROM w SEMI JOIN twice USING (k)),
+run AS (SELECT r, i, sum(CASE WHEN p IS NULL OR i > p + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS n FROM s),
+span AS (SELECT r, n, min(i) AS a, max(i) + 400 AS b FROM run GROUP BY r, n),
+cut AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS e FROM span),
+kept AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS e,
+    string_agg(substr(h, CAST(2 * e + 1 AS BIGINT), CAST(2 * (a - e) AS BIGINT)), '' ORDER BY a) AS front
+  FROM cut JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(front, '') || substr(h, CAST(2 * coalesce(e, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 SQL = {
     "op1_minhash_near_dedup": OP1,
     "op2_line_frequency_rules": OP2,
     "op9_feistel_shards": op9(24, 0),
     "op10_source_mix": op10([3, 1, 2], 1.5, 2.0, 0),
+    "op12_suffix_array_family": OP12,
 }

@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalbook.llm import ann, kn_quality, lang_id, line_rules, mixing, near_dup, packing, sharding, toxicity, warc
+from signalbook.llm import (
+    ann,
+    kn_quality,
+    lang_id,
+    line_rules,
+    mixing,
+    near_dup,
+    packing,
+    sharding,
+    suffix_family,
+    toxicity,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +84,10 @@ def source_mix(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def suffix_array_family(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_family.repeated_passages(_table(spark, d, "documents")).drop("spans")
+
+
 QUERIES = {
     "op1_minhash_near_dedup": minhash_near_dedup,
     "op2_line_frequency_rules": line_frequency_rules,
@@ -83,4 +99,5 @@ QUERIES = {
     "op8_bound_certified_packing": bound_certified_packing,
     "op9_feistel_shards": feistel_shards,
     "op10_source_mix": source_mix,
+    "op12_suffix_array_family": suffix_array_family,
 }
