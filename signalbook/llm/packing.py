@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -47,6 +48,31 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+# The white space of the tokenizer's pattern.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs of white space from this length on are encoded by themselves; the
+#: pattern would go back over all of a run.
+_LONG_RUN = 1 << 8
+_RUNS = re.compile(f"[{_SPACE}]{{{_LONG_RUN},}}+")
+
+
+def encoded(tokens: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids of a text, added tokens included.
+
+    The pattern makes one piece of a run of white space, less its last
+    character where text follows; so a long run is cut out as that piece, and
+    what is left of it begins the rest."""
+    ids: list[int] = []
+    at = 0
+    for run in _RUNS.finditer(text):
+        end = run.end()
+        follows = end < len(text) and not any(text.startswith(added, end) for added in tokens.special_tokens_set)
+        ids += tokens.encode(text[at : run.start()], allowed_special="all")
+        at = end - follows
+        ids += tokens._encode_single_piece(text[run.start() : at])
+    return ids + tokens.encode(text[at:], allowed_special="all")
+
+
 def cuts(n: int, length: int) -> list[tuple[int, int]]:
     """Start and length of the pieces of ``n`` tokens; the first takes the rest."""
     if n <= length:
@@ -57,7 +83,7 @@ def cuts(n: int, length: int) -> list[tuple[int, int]]:
 
 def _pieces(path: str, length: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = partial(encoding(path).encode, allowed_special="all")
+        encode = partial(encoded, encoding(path))
         for batch in slices(batches, "text"):
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):

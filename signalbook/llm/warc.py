@@ -26,19 +26,27 @@ DERIVED = (
     "refers_to string, record_id string, record_type string, target_uri string, date string, content_type string, "
     "content_length long, source_block_digest string, source_payload_digest string, block_digest string, content string"
 )
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_BLOCKS = re.compile(
-    r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|head|header|hr|html|"
-    r"li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>",
-    re.I,
-)
-_TAG = re.compile(r"</?[a-zA-Z!][^>]*>")
-_LINK = re.compile(
-    r"<(a|area|link|img|script|iframe|source|video|audio|embed|form)\b[^>]*?\s(href|src|action)\s*=\s*"
-    r"(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))",
-    re.I,
+# Elements whose contents are no text of the page; those of them
+# whose contents are no markup either; elements that stand on lines of their
+# own; attributes that hold an address, with the elements they are read in
+# (none: in all).
+_HIDDEN = "noscript script style template".split()
+_RAW = "script style".split()
+_BLOCKS = frozenset(
+    "address article aside blockquote body br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 head header hr "
+    "html li main nav ol p pre section table td th title tr ul".split()
 )
+_ADDRESSES = {
+    "action": None, "background": None, "cite": None, "data": "object", "formaction": None, "href": None,
+    "imagesrcset": "link", "longdesc": None, "poster": "video", "src": None, "srcset": None,
+}
+# Both match without going back, so time grows with the length of the page.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)>")
+_ATTRIBUTE = re.compile(r"([^\s=>\"'/]++)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
+_NO_TAG = re.compile(r"<(?:[!?]|/(?![a-zA-Z]))")
+_MARK = re.compile(r"<(?=[a-zA-Z/!?])")
+_REFRESH = re.compile(r"[\d.\s]*+[;,]?\s*+url\s*+=\s*+[\"']?([^\"'\s]++)", re.I)
+_ENDS = {name: re.compile(rf"</{name}\s*+>", re.I) for name in (*_HIDDEN, "title")}
 
 
 def digest(data: bytes) -> str:
@@ -50,26 +58,78 @@ def record_id(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_IDS, chr(0).join(parts))}>"
 
 
-def plain_text(page: str) -> str:
-    """The text of a page: no markup, scripts, styles or comments; one line per
-    block, blanks run together, empty lines dropped."""
-    return _text_of(_HIDDEN.sub(" ", page))
+class Page:
+    """``text``, ``title`` and ``links`` of a page, from one pass over it.
+
+    The text has no markup, scripts, styles, templates or comments, one line
+    per block, blanks run together, empty lines dropped.  Links are all
+    addresses in attributes, in order, as written, with the element and the
+    attribute; those in comments and scripts are none.  What is not closed, be
+    it a comment, a script or a tag, reaches to the end of the page, as in
+    browsers; a title that is not closed is none, and a quote that is not closed
+    is a character like others.  A page may be as long as a column can hold.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.title: str | None = None
+        self.links: list[dict[str, str]] = []
+        parts: list[str] = []
+        at = hidden = 0  # what lies before ``hidden`` is not shown
+        titled = False
+        while True:
+            mark = _MARK.search(page, at)
+            begin = mark.start() if mark else len(page)
+            parts.append(page[max(at, hidden) : max(begin, hidden)])
+            if mark is None:
+                break
+            tag, gap, visible = _TAG.match(page, begin), "", begin >= hidden
+            if page.startswith("<!--", begin):
+                at, gap = self._after(page, "-->", begin + 4), " "
+            elif _NO_TAG.match(page, begin):
+                at = self._after(page, ">", begin)
+            elif tag is None:
+                at = len(page)
+            else:
+                at, name = tag.end(), tag[2].lower()
+                gap = "\n" if name in _BLOCKS else ""
+                if not tag[1]:
+                    self._addresses(name, tag[3])
+                    if name in _RAW or (name in _HIDDEN and visible):
+                        end = _ENDS[name].search(page, at)
+                        hidden, gap = max(hidden, end.end() if end else len(page)), " "
+                        at = hidden if name in _RAW else at
+                    elif name == "title" and visible and not titled:
+                        titled, end = True, _ENDS[name].search(page, at)
+                        self.title = entities.unescape(page[at : end.start()]).strip() if end else None
+            if visible:
+                parts.append(gap)
+        lines = (" ".join(line.split()) for line in entities.unescape("".join(parts)).split("\n"))
+        self.text = "\n".join(line for line in lines if line)
+
+    @staticmethod
+    def _after(page: str, mark: str, at: int) -> int:
+        end = page.find(mark, at)
+        return len(page) if end < 0 else end + len(mark)
+
+    def _addresses(self, name: str, attributes: str) -> None:
+        refresh = name == "meta" and "refresh" in attributes.lower()
+        for attribute, *quoted in _ATTRIBUTE.findall(attributes):
+            key, value = attribute.lower(), entities.unescape(next((q for q in quoted if q), "")).strip()
+            if key in _ADDRESSES and _ADDRESSES[key] in (None, name):
+                many = [c.split()[0] for c in value.split(",") if c.strip()] if key.endswith("srcset") else [value]
+                self.links += [{"path": f"{name.upper()}@/{key}", "url": url} for url in many]
+            elif refresh and key == "content" and (url := _REFRESH.match(value)):
+                self.links.append({"path": "META@/content", "url": url[1]})
 
 
-def _text_of(shown: str) -> str:
-    text = _TAG.sub("", _BLOCKS.sub("\n", shown))
-    lines = (" ".join(line.split()) for line in entities.unescape(text).split("\n"))
-    return "\n".join(line for line in lines if line)
+def plain_text(page: str) -> str:
+    """The text of a page, see :class:`Page`."""
+    return Page(page).text
 
 
 def links(page: str) -> list[dict[str, str]]:
-    """Links of a page outside comments, in order, as written."""
-    page = re.sub(r"<!--.*?(?:-->|\Z)", " ", page, flags=re.S)
-    found = []
-    for tag, attribute, *quoted in _LINK.findall(page):
-        url = next((q for q in quoted if q), "")
-        found.append({"path": f"{tag.upper()}@/{attribute.lower()}", "url": entities.unescape(url).strip()})
-    return found
+    """The links of a page, see :class:`Page`."""
+    return Page(page).links
 
 
 def split_http(block: bytes) -> tuple[str, list[list[str]], bytes]:
@@ -97,8 +157,7 @@ def derived(record: dict) -> list[dict]:
     block = record["block"] or b""
     status, http, body = split_http(block)
     page = _decoded(http, body)
-    shown = _HIDDEN.sub(" ", page)
-    title = _TITLE.search(shown)
+    shown = Page(page)
     given = {n.lower(): v for n, v in headers}
     block_digest = given.get("warc-block-digest") or digest(block)
     payload_digest = given.get("warc-payload-digest") or digest(body)
@@ -112,15 +171,15 @@ def derived(record: dict) -> list[dict]:
                 "Entity-Length": len(body),
                 "Entity-Digest": payload_digest,
                 "HTML-Metadata": {
-                    "Title": entities.unescape(title[1]).strip() if title else None,
-                    "Links": links(page),
+                    "Title": shown.title,
+                    "Links": shown.links,
                 },
             }
         },
     }
     contents = (
         ("metadata", "application/json", json.dumps({"Envelope": envelope}, ensure_ascii=False)),
-        ("conversion", "text/plain", _text_of(shown)),
+        ("conversion", "text/plain", shown.text),
     )
     out = []
     for kind, content_type, content in contents:
@@ -159,7 +218,7 @@ def derivatives(records: DataFrame, carry: str) -> DataFrame:
 
     Digests the response carries are handed on, missing ones computed.  A null
     block is an empty one: no title, no links, no text.  Repeated responses
-    give repeated rows.
+    give repeated rows, an empty table none; other columns are not read.
     """
     names = [c.split()[0] for c in RECORD.split(", ")]
     responses = records.filter("record_type = 'response'").select(F.col(carry).cast("long").alias("id"), *names)
