@@ -145,10 +145,30 @@ FROM d LEFT JOIN kept USING (r)
 """
 
 
+#: All anchors against all rows.
+OP13 = """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: CAST(floor(256.0::DOUBLE * c::DOUBLE) AS BIGINT)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+    coalesce(list_sum(list_transform(list_zip(a.x, b.x, true), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND (a.vec_id, a.label, a.x) IS DISTINCT FROM (b.vec_id, b.label, b.x)),
+p AS (SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, own ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id, p.own
+    ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id, own)
+WHERE s.label <> own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 SQL = {
     "op1_minhash_near_dedup": OP1,
     "op2_line_frequency_rules": OP2,
     "op9_feistel_shards": op9(24, 0),
     "op10_source_mix": op10([3, 1, 2], 1.5, 2.0, 0),
     "op12_suffix_array_family": OP12,
+    "op13_threshold_hard_negatives": OP13,
 }

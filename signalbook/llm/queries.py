@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from signalbook.llm import (
     ann,
+    hard_negatives,
     kn_quality,
     lang_id,
     line_rules,
@@ -17,6 +18,7 @@ from signalbook.llm import (
     suffix_family,
     toxicity,
     warc,
+    whitening,
 )
 
 
@@ -84,6 +86,16 @@ def source_mix(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def embedding_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whitened(_table(spark, d, "embeddings"), k=4)
+
+
+def threshold_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def suffix_array_family(spark: SparkSession, d: str) -> DataFrame:
     return suffix_family.repeated_passages(_table(spark, d, "documents")).drop("spans")
 
@@ -99,5 +111,7 @@ QUERIES = {
     "op8_bound_certified_packing": bound_certified_packing,
     "op9_feistel_shards": feistel_shards,
     "op10_source_mix": source_mix,
+    "op11_embedding_whitening": embedding_whitening,
     "op12_suffix_array_family": suffix_array_family,
+    "op13_threshold_hard_negatives": threshold_hard_negatives,
 }

@@ -76,12 +76,15 @@ def test_empty_table(spark):
 
 def test_a_passage_in_a_third_of_all_rows_is_spread(spark):
     """No task scans more than its share of a suffix array."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     draw = random.Random(2)
     shared = "".join(draw.choices("abcdefgh ", k=1200))
     rows = [(i, "".join(draw.choices("mnopqrst ", k=900)) + (shared if i % 3 == 0 else "")) for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     keyed = docs.select("text", F.col("doc_id").alias("k1"), F.xxhash64("text").alias("k2"))
     array, _, _ = sf.scanned(keyed.mapInArrow(sf._entries(400, 32, 128), sf.ENTRY))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     shares = [r["count"] for r in array.groupBy("part").count().collect()]
     assert len(shares) > 4 and max(shares) < 2.5 * sum(shares) / len(shares)
     got = sf.repeated_passages(docs).collect()
