@@ -172,6 +172,19 @@ def _metric(name: str, column: str) -> str:
 SQL = {
     "txn_parse": f"WITH {_TX} SELECT {_COLS} FROM tx WHERE pos_id <> 'error'",
     "txn_quarantine": "SELECT event_id AS txn_id, 'BAD_AMOUNT' AS reason FROM events WHERE event_type = 'error'",
+    "txn_faults": """SELECT * FROM (
+  SELECT event_id AS txn_id, CASE WHEN event_id % 11 = 0 THEN 'MALFORMED_JSON' WHEN event_id % 13 = 0 THEN 'MISSING_FIELD'
+      WHEN event_id % 17 = 0 THEN CASE WHEN event_type = 'error' THEN 'BAD_AMOUNT' ELSE 'BAD_DATE' END
+      WHEN event_id % 19 = 0 THEN 'MALFORMED_JSON' WHEN event_type = 'error' THEN 'BAD_AMOUNT' END AS reason FROM events)
+WHERE reason IS NOT NULL""",
+    "classified_load": f"""WITH {_TX}
+SELECT CASE WHEN amount > 90 THEN 'FRAUD' ELSE 'GENUINE' END AS status, left(transaction_dt, 10) AS day, count(*) AS n,
+  CAST(sum(amount) AS BIGINT) AS amount, count(DISTINCT card_id) AS cards, CAST(sum(epoch) AS BIGINT) AS epochs
+FROM tx WHERE ts < {_CUT} AND txn_id % 23 <> 0 AND txn_id % 29 <> 0 AND txn_id % 31 <> 0 GROUP BY ALL""",
+    "classified_quarantine": f"""WITH {_TX}
+SELECT CASE WHEN txn_id % 23 = 0 THEN 'MISSING_FIELD' WHEN txn_id % 29 = 0 THEN 'BAD_AMOUNT' ELSE 'BAD_DATE' END AS reason,
+  count(*) AS n
+FROM tx WHERE ts < {_CUT} AND (txn_id % 23 = 0 OR txn_id % 29 = 0 OR txn_id % 31 = 0) GROUP BY ALL""",
     "zip_distance": f"""WITH {_JOURNEYS}
 SELECT last_postcode, postcode, count(*) AS journeys, max(km) AS km FROM journeys GROUP BY last_postcode, postcode""",
     "txn_speed": f"""WITH {_JOURNEYS}
@@ -196,6 +209,10 @@ SELECT card_id, round(ucl, 4) AS ucl, score, postcode, transaction_dt, epoch FRO
 SELECT card_id, postcode, transaction_dt, epoch FROM tx
 QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY epoch DESC, txn_id DESC) = 1""",
     "incremental_replay": f"""WITH {_LOOKUP.replace(f"FROM tx WHERE ts < {_CUT}", "FROM tx")}
+SELECT card_id, round(ucl, 4) AS ucl, score, postcode, transaction_dt, epoch FROM lookup""",
+    "incremental_late": f"""WITH {_TX}
+SELECT {_COLS}, CAST(CASE WHEN ts < {_CUT} AND txn_id % 3 <> 0 THEN 0 ELSE 1 + txn_id % 2 END AS INTEGER) AS load FROM tx""",
+    "incremental_lookup": f"""WITH {_LOOKUP.replace(f"FROM tx WHERE ts < {_CUT}", "FROM tx")}
 SELECT card_id, round(ucl, 4) AS ucl, score, postcode, transaction_dt, epoch FROM lookup""",
     "customer_view": f"""WITH {_TX},
 newest AS (
@@ -204,6 +221,21 @@ SELECT CAST(c_custkey AS VARCHAR) AS card_id, CAST(c_custkey AS VARCHAR) AS memb
        CAST(c_nationkey AS VARCHAR) AS country, c_mktsegment AS city, c_acctbal AS score,
        amount, postcode, transaction_dt
 FROM customer LEFT JOIN newest ON card_id = CAST(c_custkey AS VARCHAR)""",
+    "customer_view_live": f"""WITH RECURSIVE {_FOLD},
+judged AS (SELECT a.card_id, a.amount, a.postcode, a.transaction_dt, a.epoch, a.txn_id, f.status, f.speed_rule, f.amount_rule,
+    f.score_rule FROM fold f JOIN arrivals a ON a.txn_id = f.txn_id),
+last_genuine AS (SELECT * FROM judged WHERE status = 'GENUINE'
+  QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY epoch DESC, txn_id DESC) = 1),
+newest AS (SELECT * FROM judged QUALIFY row_number() OVER (PARTITION BY card_id ORDER BY epoch DESC, txn_id DESC) = 1),
+frauds AS (SELECT card_id, count(*) FILTER (WHERE status = 'FRAUD') AS frauds FROM judged GROUP BY card_id)
+SELECT CAST(c_custkey AS VARCHAR) AS card_id, CAST(c_custkey AS VARCHAR) AS member_id,
+  CAST(c_nationkey AS VARCHAR) AS country, c_mktsegment AS city, c_acctbal AS score,
+  n.amount, n.postcode, n.transaction_dt, n.status, n.speed_rule, n.amount_rule, n.score_rule,
+  coalesce(frauds, 0) AS frauds, round(l.ucl, 4) AS ucl,
+  coalesce(g.postcode, l.postcode) AS genuine_postcode, coalesce(g.transaction_dt, l.transaction_dt) AS genuine_dt
+FROM customer LEFT JOIN newest n ON n.card_id = CAST(c_custkey AS VARCHAR)
+LEFT JOIN frauds q ON q.card_id = CAST(c_custkey AS VARCHAR) LEFT JOIN lookup l ON l.card_id = CAST(c_custkey AS VARCHAR)
+LEFT JOIN last_genuine g ON g.card_id = CAST(c_custkey AS VARCHAR)""",
     "fraud_rules": f"""WITH {_JOURNEYS},
 ruled AS (
   SELECT *, {_FAST} AS speed_rule, amount > ucl AS amount_rule, score < 200 AS score_rule FROM journeys)
@@ -213,6 +245,7 @@ SELECT {_COLS}, km, secs, speed_rule, amount_rule, score_rule,
 FROM ruled""",
     "fraud_score": _DECISIONS,
     "stream_fraud": f"SELECT sha256('transactions|0|' || txn_id) AS decision_id, d.* FROM ({_DECISIONS}) d",
+    "stream_fraud_keyed": f"SELECT sha256('transactions|0|' || txn_id) AS decision_id, d.* FROM ({_DECISIONS}) d",
     "lookup_moved": f"""WITH RECURSIVE {_FOLD},
 last_genuine AS (
   SELECT a.card_id, a.postcode, a.transaction_dt, a.epoch FROM fold f JOIN arrivals a ON a.txn_id = f.txn_id
@@ -223,6 +256,19 @@ SELECT l.card_id, round(l.ucl, 4) AS ucl, l.score,
        CASE WHEN g.card_id IS NULL THEN l.transaction_dt ELSE g.transaction_dt END AS transaction_dt,
        CASE WHEN g.card_id IS NULL THEN l.epoch ELSE g.epoch END AS epoch
 FROM lookup l LEFT JOIN last_genuine g ON l.card_id = g.card_id""",
+    "held_out_pairs": f"""WITH {_CLICKS},
+parted AS (SELECT user_id, song_id, count(*) AS frequency,
+    CAST('0x' || left(md5('42:' || user_id || ':' || song_id), 7) AS BIGINT) % 1000 < 800 AS train FROM clicks GROUP BY ALL)
+SELECT user_id, song_id, frequency FROM parted WHERE NOT train
+  AND user_id IN (SELECT user_id FROM parted WHERE train) AND song_id IN (SELECT song_id FROM parted WHERE train)""",
+    "account_split": f"""WITH {_CLEAN}
+SELECT account_id, CASE WHEN CAST('0x' || left(md5('42:' || account_id), 7) AS BIGINT) % 1000 < 700 THEN 'train'
+  ELSE 'test' END AS split FROM clean""",
+    "top_partners": """WITH v AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda c: floor(c::DOUBLE * 16)) AS x FROM embeddings WHERE embedding IS NOT NULL)
+SELECT a.id AS user, b.id AS song, CAST(row_number() OVER (PARTITION BY a.id
+         ORDER BY list_dot_product(a.x, b.x) DESC, b.id) AS INTEGER) AS rank, list_dot_product(a.x, b.x) AS score
+FROM v a JOIN v b ON a.id % 4 = 1 AND b.id % 4 <> 1 QUALIFY rank <= 10""",
     "play_frequency": f"WITH {_CLICKS} SELECT user_id, song_id, count(*) AS frequency FROM clicks GROUP BY ALL",
     "label_index": f"""WITH {_CLICKS},
 counts AS (SELECT user_id, count(DISTINCT song_id) AS n FROM clicks GROUP BY user_id)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalbook.functions import text as tx
+from signalbook.functions.draw import thousandth
 
 SEED = 42
 
@@ -62,9 +63,8 @@ def term_idf(terms: DataFrame) -> DataFrame:
 
 
 def split_draw(key: str = "account_id", train_share: float = 0.7, seed: int = SEED) -> F.Column:
-    """``train`` or ``test`` by a hash of the key, the same in every run."""
-    draw = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1000)) < int(train_share * 1000)
-    return F.when(draw, "train").otherwise("test")
+    """``train`` or ``test`` by a digest of the key, the same in every run."""
+    return F.when(thousandth([key], seed) < int(train_share * 1000), "train").otherwise("test")
 
 
 class Features:

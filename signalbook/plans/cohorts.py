@@ -9,8 +9,10 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from signalbook.functions.draw import thousandth
 from signalbook.operators.dense_index import dense_index
 from signalbook.operators.skew import dimension_join, salted_join
+from signalbook.operators.top_products import top_products
 from signalbook.session import shared_dir
 
 SEED = 42
@@ -35,17 +37,22 @@ def label_index(df: DataFrame, column: str, name: str = "index") -> DataFrame:
 
 
 class Listening:
-    """Play counts with numbered users and songs, ready for factoring."""
-
-    def __init__(self, clicks: DataFrame):
-        frequency = play_frequency(clicks).persist()
+    """Play counts with numbered users and songs, ready for factoring; with a
+    ``train_share``, also the part of each pair."""
+
+    def __init__(self, clicks: DataFrame, train_share: float | None = None, seed: int = SEED):
+        frequency = play_frequency(clicks)
+        part = []
+        if train_share is not None:
+            frequency, part = held_out(frequency, train_share, seed), ["part"]
+        frequency = frequency.persist()
         self.users = label_index(frequency, "user_id", "user").drop("n")
         self.songs = label_index(frequency, "song_id", "song").drop("n")
         numbered = dimension_join(frequency, self.songs, "song_id", "inner", spread_by=["user_id"])
         numbered = dimension_join(numbered, self.users, "user_id", "inner", spread_by=["song_id"])
         # One layout for every run, as the factors depend on it a little.
         self.ratings = (
-            numbered.select("user", "song", F.col("frequency").cast("float").alias("frequency"))
+            numbered.select("user", "song", F.col("frequency").cast("float").alias("frequency"), *part)
             .repartition(_parts(clicks.sparkSession), "user", "song")
             .sortWithinPartitions("user", "song")
             .persist()
@@ -89,8 +96,8 @@ def assign_cohorts(clicks: DataFrame, k: int = 10, seed: int = SEED) -> DataFram
 def cohort_clicks(clicks: DataFrame, cohorts: DataFrame) -> DataFrame:
     """One row per click of a user with a cohort."""
     plays = clicks.select("user_id", "song_id").na.drop("any")
-    numbered = plays.withColumn("_row", F.monotonically_increasing_id())
-    return salted_join(numbered, cohorts, "user_id", "inner", spread_by=["_row"]).drop("_row")
+    # By the song too: a salt that is the same when a lost stage runs again.
+    return salted_join(plays, cohorts, "user_id", "inner", spread_by=["song_id"])
 
 
 def cohort_artists(clicks: DataFrame, cohorts: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -129,23 +136,19 @@ def best_notification(rates: DataFrame) -> DataFrame:
 
 
 def top_songs(clicks: DataFrame, n: int = 10, seed: int = SEED) -> DataFrame:
-    """The ``n`` songs with the highest predicted frequency for each user."""
+    """The ``n`` songs with the highest predicted frequency for each user,
+    equal ones by number."""
     listening, model = _fitted(clicks, seed)
-    best = model.recommendForAllUsers(n).select("user", F.explode("recommendations").alias("_r"))
-    return _named(_ranked(best.select("user", "_r.song", "_r.rating"), "user", "song"), listening)
+    best = top_products(model.userFactors, model.itemFactors, n)
+    return _named(best.withColumnsRenamed({"asking": "user", "offered": "song"}), listening)
 
 
 def top_listeners(clicks: DataFrame, n: int = 10, seed: int = SEED) -> DataFrame:
-    """The ``n`` users with the highest predicted frequency for each song."""
+    """The ``n`` users with the highest predicted frequency for each song,
+    equal ones by number."""
     listening, model = _fitted(clicks, seed)
-    best = model.recommendForAllItems(n).select("song", F.explode("recommendations").alias("_r"))
-    return _named(_ranked(best.select("song", "_r.user", "_r.rating"), "song", "user"), listening)
-
-
-def _ranked(best: DataFrame, key: str, other: str) -> DataFrame:
-    """``rank`` by score, equal scores by number."""
-    order = Window.partitionBy(key).orderBy(F.desc("rating"), other)
-    return best.withColumn("rank", F.row_number().over(order))
+    best = top_products(model.itemFactors, model.userFactors, n)
+    return _named(best.withColumnsRenamed({"asking": "song", "offered": "user"}), listening)
 
 
 def _fitted(clicks: DataFrame, seed: int):
@@ -156,21 +159,32 @@ def _fitted(clicks: DataFrame, seed: int):
 
 
 def _named(scored: DataFrame, listening: Listening) -> DataFrame:
-    scored = scored.withColumnRenamed("rating", "score")
     by_song = dimension_join(scored, listening.songs, "song", "inner", spread_by=["user"])
     by_user = dimension_join(by_song, listening.users, "user", "inner", spread_by=["song"])
     return by_user.select("user_id", "song_id", "rank", "score")
 
 
-def factor_error(clicks: DataFrame, train_share: float = 0.8, seed: int = SEED) -> DataFrame:
-    """Root mean square error of predicted frequencies on held-out pairs.
+def held_out(frequency: DataFrame, train_share: float = 0.8, seed: int = SEED) -> DataFrame:
+    """Play counts with ``part``, ``train`` or ``test`` by a digest of the pair."""
+    draw = thousandth(["user_id", "song_id"], seed) < int(train_share * 1000)
+    return frequency.withColumn("part", F.when(draw, "train").otherwise("test"))
 
-    Membership of the two parts follows a hash of the pair, so it repeats.
-    """
-    listening = Listening(clicks)
-    draw = F.pmod(F.xxhash64("user", "song", F.lit(seed)), F.lit(1000)) < int(train_share * 1000)
-    model = fit_factors(listening.ratings.filter(draw), seed=seed)
-    predicted = model.transform(listening.ratings.filter(~draw)).persist()
+
+def predictable(parted: DataFrame) -> DataFrame:
+    """The test pairs whose user and song the training part knows: those that
+    a model fitted on it predicts, as cold starts are dropped."""
+    train, test = (parted.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
+    known = test.join(train.select("user_id").distinct(), "user_id", "left_semi")
+    return known.join(train.select("song_id").distinct(), "song_id", "left_semi")
+
+
+def factor_error(clicks: DataFrame, train_share: float = 0.8, seed: int = SEED) -> DataFrame:
+    """Root mean square error of predicted frequencies on held-out pairs."""
+    ratings = Listening(clicks, train_share, seed).ratings
+    train, test = (ratings.filter(F.col("part") == p).drop("part") for p in ("train", "test"))
+    predicted = fit_factors(train, seed=seed).transform(test).persist()
     rmse = RegressionEvaluator(metricName="rmse", labelCol="frequency").evaluate(predicted)
-    out = predicted.agg(F.count(F.lit(1)).alias("predicted_pairs"), F.lit(rmse).alias("rmse"))
-    return out
+    n = predicted.count()
+    predicted.unpersist()
+    ratings.unpersist()
+    return clicks.sparkSession.createDataFrame([(n, rmse)], "predicted_pairs long, rmse double")

@@ -22,9 +22,17 @@ from signalbook.schemas import LOOKUP, PAYLOAD
 from signalbook.session import checkpointed
 
 ORDER = ["epoch", "txn_id"]
+#: Transactions of a card that its limit rests on.
+LAST = 10
+#: What :func:`newest_rows_of` keeps of a transaction.
+NEWEST = "card_id string, amount int, postcode string, transaction_dt string, epoch bigint, txn_id bigint"
 TRANSACTION = ["txn_id", *PAYLOAD.fieldNames(), "epoch"]
 
 
+#: What can be wrong with a record, the first that applies.
+FAULTS = ["MALFORMED_JSON", "MISSING_FIELD", "BAD_AMOUNT", "BAD_DATE"]
+
+
 # --- parsing ---------------------------------------------------------------
 
 
@@ -75,6 +83,8 @@ def typed_faults(classified: DataFrame) -> DataFrame:
 
 
 def _classified(classified: DataFrame) -> DataFrame:
+    """``row_id`` is a digest of all fields, for telling rows of different loads
+    apart; ``txn_id`` a shorter one, for their order."""
     fields = PAYLOAD.fieldNames()
     amount = F.when(F.col("amount").rlike("^[+-]?[0-9]+$"), F.col("amount").try_cast("int"))
     epoch = parse_epoch(F.col("transaction_dt"))
@@ -84,6 +94,7 @@ def _classified(classified: DataFrame) -> DataFrame:
         .when(epoch.isNull(), "BAD_DATE")
     )
     return classified.select(
+        F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256).alias("row_id"),
         F.xxhash64(*fields).alias("txn_id"),
         *[amount.alias(n) if n == "amount" else n for n in fields],
         epoch.alias("epoch"),
@@ -96,7 +107,7 @@ def _classified(classified: DataFrame) -> DataFrame:
 # --- batch statistics and the lookup ----------------------------------------
 
 
-def last_n_stats(tx: DataFrame, n: int = 10, k: float = 3.0) -> DataFrame:
+def last_n_stats(tx: DataFrame, n: int = LAST, k: float = 3.0) -> DataFrame:
     """Per card over its newest ``n`` transactions: average, deviation, the
     control limit ``average + k * deviation``, and the newest place and time."""
     cnt, s1, s2 = moments(F.col("amount"))
@@ -114,6 +125,20 @@ def last_n_stats(tx: DataFrame, n: int = 10, k: float = 3.0) -> DataFrame:
     ).withColumn("ucl", F.col("moving_avg") + F.lit(float(k)) * F.col("moving_std"))
 
 
+def newest_rows_of(tx: DataFrame, n: int = LAST) -> DataFrame:
+    """The newest ``n`` transactions of each card: all that its limit and its
+    last place rest on.  Such tables of several loads merge into that of their
+    union, whatever the order in which rows arrived."""
+    kept = tx.select("card_id", "amount", "postcode", "transaction_dt", *ORDER)
+    return newest_rows(kept, "card_id", ORDER, n).drop("rank")
+
+
+def merged_newest(one: DataFrame, other: DataFrame, n: int = LAST) -> DataFrame:
+    """The newest rows of the union of two loads, from the newest rows of each.
+    The loads must not share transactions."""
+    return newest_rows_of(one.unionByName(other), n)
+
+
 def rolling_stats(tx: DataFrame, n: int = 10, rows_per_task: int | None = None) -> DataFrame:
     """Average and deviation of the ``n`` transactions up to each one."""
     narrow = tx.select("txn_id", "card_id", "amount", "epoch")
@@ -155,6 +180,27 @@ def customer_view(card_member: DataFrame, member_score: DataFrame, tx: DataFrame
     )
 
 
+def live_view(card_member: DataFrame, member_score: DataFrame, decisions: DataFrame, lookup: DataFrame) -> DataFrame:
+    """What support staff see while transactions come in: member data, score,
+    the limit and last genuine place of the card, its last transaction with
+    the verdict and the rules it broke, and how many frauds it had."""
+    last = newest_rows(
+        decisions.select("card_id", "amount", "postcode", "transaction_dt", "status", "speed_rule", "amount_rule", "score_rule", *ORDER),
+        "card_id", ORDER, 1,
+    )
+    frauds = decisions.groupBy("card_id").agg(F.count(F.when(F.col("status") == "FRAUD", 1)).alias("frauds"))
+    place = lookup.select(
+        "card_id", "ucl", F.col("postcode").alias("genuine_postcode"), F.col("transaction_dt").alias("genuine_dt")
+    )
+    return (
+        card_member.join(last.drop("rank", *ORDER), "card_id", "left")
+        .join(frauds, "card_id", "left")
+        .join(place, "card_id", "left")
+        .join(member_score, "member_id", "left")
+        .withColumn("frauds", F.coalesce("frauds", F.lit(0)))
+    )
+
+
 # --- the three rules ---------------------------------------------------------
 
 

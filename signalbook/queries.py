@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from signalbook.functions.clock import epoch_of_ntz
 from signalbook.operators.latest import not_loaded, reload_from, upsert
+from signalbook.operators.top_products import top_products
 from signalbook.plans import accounts as acc
 from signalbook.plans import cohorts, fraud, rfm
 from signalbook.session import checkpointed, new_dir
+from signalbook.sources import files, topics
 from signalbook.sources import tables as t
 from signalbook.sources.tables import table
-from signalbook.streaming import scoring
+from signalbook.streaming import keyed, loading, scoring
 
 DECISION = [*fraud.TRANSACTION, "km", "secs", "speed_rule", "amount_rule", "score_rule", "status"]
 
@@ -57,6 +60,54 @@ def txn_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return fraud.quarantined(_parsed(spark, d)).select("txn_id", "reason")
 
 
+def txn_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Records of which some are cut off, lack a field, or have a date that is
+    none, as their ids have it, with all that was found wrong."""
+    raw = t.records(_events(spark, d), whole_amounts=False).select(F.col("offset").alias("txn_id"), "value")
+    n = F.col("txn_id")
+    value = (
+        F.when(n % 11 == 0, F.expr("left(value, length(value) - 1)"))
+        .when(n % 13 == 0, F.regexp_replace("value", '"pos_id":"[^"]*",', ""))
+        .when(n % 17 == 0, F.regexp_replace("value", '"transaction_dt":"..', '"transaction_dt":"39'))
+        .when(n % 19 == 0, F.lit(None))
+        .otherwise(F.col("value"))
+    )
+    parsed = fraud.parse_payloads(raw.withColumn("value", value))
+    return fraud.quarantined(parsed).select("txn_id", "reason")
+
+
+def _classified(spark, d):
+    """Classified transactions as a CSV folder that was loaded, some rows bad."""
+    events = _events(spark, d)
+    n = F.col("txn_id")
+    rows = t.history(events).select(
+        "card_id",
+        F.when(n % 23 != 0, F.col("member_id")).alias("member_id"),
+        F.when(n % 29 == 0, F.concat(F.col("amount").cast("string"), F.lit(".5"))).otherwise(F.col("amount").cast("string")).alias("amount"),
+        "postcode",
+        "pos_id",
+        F.when(n % 31 == 0, F.lit("soon")).otherwise(F.col("transaction_dt")).alias("transaction_dt"),
+        F.when(F.col("amount") > 90, "FRAUD").otherwise("GENUINE").alias("status"),
+    )
+    path = new_dir(spark, "classified")
+    rows.write.option("header", True).csv(path)
+    return files.classified_transactions(spark, path)
+
+
+def classified_load(spark: SparkSession, d: str) -> DataFrame:
+    """What the first load takes of classified transactions, by day."""
+    rows = fraud.typed(_classified(spark, d))
+    return rows.groupBy("status", F.substring("transaction_dt", 1, 10).alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.countDistinct("card_id").alias("cards"),
+        F.sum("epoch").alias("epochs"),
+    )
+
+
+def classified_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """What it refuses, by fault."""
+    return fraud.typed_faults(_classified(spark, d)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _parsed(spark, d):
     raw = t.records(_events(spark, d), whole_amounts=False)
     return fraud.parse_payloads(raw.select(F.col("offset").alias("txn_id"), "value"))
@@ -116,6 +167,43 @@ def incremental_replay(spark: SparkSession, d: str) -> DataFrame:
     return lookup.withColumn("ucl", F.round("ucl", 4))
 
 
+LOADS = 3
+
+
+def _arrived(spark, d):
+    """A store of loads into which the transactions came in files, rows of
+    any age in each, and some again that had come before."""
+    events = _events(spark, d)
+    past = F.col("ts") < F.lit(t.CUTOFF).cast("timestamp_ntz")
+    comes = F.when(past & (F.col("event_id") % 3 != 0), 0).otherwise(1 + F.col("event_id") % 2)
+    again = F.when(F.col("event_id") % 7 == 0, 1).when(F.col("event_id") % 5 == 0, 2)
+    store = new_dir(spark, "arrivals")
+    day = F.to_date(F.substring("transaction_dt", 1, 10), "dd-MM-yyyy").alias("event_date")
+    for number in range(LOADS):
+        sent = events.filter((comes == number) | ((comes < number) & (again == number)))
+        rows = t.transactions(sent).select("*", day)
+        rows.write.parquet(f"{store}/files/{number}")
+        arriving = spark.readStream.schema(rows.schema).parquet(f"{store}/files/*")
+        loading.load(arriving, store, "event_date").awaitTermination()
+    return store, rows.schema
+
+
+def incremental_late(spark: SparkSession, d: str) -> DataFrame:
+    """Every transaction with the load that it first came in."""
+    store, schema = _arrived(spark, d)
+    return loading.loaded(spark, store, schema, "event_date").select(*fraud.TRANSACTION, "load")
+
+
+def incremental_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """The lookup after these loads, of which each read only its own rows and
+    the newest ones of each card before it."""
+    store, _ = _arrived(spark, d)
+    customer = table(spark, d, "customer")
+    newest = loading.newest_before(spark, store, LOADS)
+    lookup = fraud.build_lookup(newest, t.card_members(customer), t.member_scores(customer))
+    return lookup.withColumn("ucl", F.round("ucl", 4))
+
+
 def customer_view(spark: SparkSession, d: str) -> DataFrame:
     customer = table(spark, d, "customer")
     return fraud.customer_view(
@@ -123,6 +211,16 @@ def customer_view(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def customer_view_live(spark: SparkSession, d: str) -> DataFrame:
+    """The view after all arrivals, with verdicts and the moved lookup."""
+    customer = table(spark, d, "customer")
+    lookup = checkpointed(_lookup(spark, d))
+    scored = checkpointed(fraud.score_transactions(t.arrivals(_events(spark, d)), lookup, _zips(spark, d)))
+    moved = fraud.move_lookup(lookup, fraud.closing_places(scored))
+    view = fraud.live_view(t.card_members(customer), t.member_scores(customer), scored, moved)
+    return view.withColumn("ucl", F.round("ucl", 4))
+
+
 def fraud_rules(spark: SparkSession, d: str) -> DataFrame:
     return fraud.apply_rules(t.arrivals(_events(spark, d)), _lookup(spark, d), _zips(spark, d))
 
@@ -143,6 +241,26 @@ def stream_fraud(spark: SparkSession, d: str) -> DataFrame:
     return scoring.decisions(spark, store).select("decision_id", *DECISION)
 
 
+FILES = 4
+
+
+def stream_fraud_keyed(spark: SparkSession, d: str) -> DataFrame:
+    """The arrivals as topic records in files by time, one file a batch, the
+    query stopped and started again after half of them; places in operator state."""
+    events = _events(spark, d)
+    arriving = events.filter(F.col("ts") >= F.lit(t.CUTOFF).cast("timestamp_ntz"))
+    # Three days a file; the last one has the rest.
+    after = epoch_of_ntz("ts") - F.unix_seconds(F.to_timestamp(F.lit(t.CUTOFF + "Z")))
+    part = F.least(F.lit(FILES - 1), F.floor(after / (3 * DAY))).cast("int")
+    store = new_dir(spark, "stream_fraud_keyed")
+    for number in range(FILES):
+        t.records(arriving.filter(part == number)).coalesce(1).write.json(f"{store}/files/{number}")
+        if number % 2:
+            stream = topics.json_files(spark, f"{store}/files/*", files_per_batch=1)
+            keyed.start(stream, _lookup(spark, d), _zips(spark, d), store, interval=None).awaitTermination()
+    return keyed.decisions(spark, store).select("decision_id", *DECISION)
+
+
 def lookup_moved(spark: SparkSession, d: str) -> DataFrame:
     """The lookup after all arrivals."""
     lookup = _lookup(spark, d)
@@ -217,10 +335,24 @@ def top_songs(spark: SparkSession, d: str) -> DataFrame:
     return cohorts.top_songs(_clicks(spark, d))
 
 
+def top_partners(spark: SparkSession, d: str) -> DataFrame:
+    """The best partners by given factors, in whole numbers so that scores tie."""
+    whole = F.transform("embedding", lambda c: F.floor(c.cast("double") * 16).cast("double"))
+    given = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), whole.alias("features"))
+    asks = F.col("id") % 4 == 1
+    best = top_products(given.filter(asks), given.filter(~asks), 10)
+    return best.select(F.col("asking").alias("user"), F.col("offered").alias("song"), "rank", "score")
+
+
 def top_listeners(spark: SparkSession, d: str) -> DataFrame:
     return cohorts.top_listeners(_clicks(spark, d))
 
 
+def held_out_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Held-out pairs that a model fitted on the others predicts."""
+    return cohorts.predictable(cohorts.held_out(cohorts.play_frequency(_clicks(spark, d))))
+
+
 def als_rmse(spark: SparkSession, d: str) -> DataFrame:
     return cohorts.factor_error(_clicks(spark, d))
 
@@ -241,6 +373,11 @@ def text_clean(spark: SparkSession, d: str) -> DataFrame:
     return acc.cleaned(_accounts(spark, d))
 
 
+def account_split(spark: SparkSession, d: str) -> DataFrame:
+    """The part that each account falls into."""
+    return acc.cleaned(_accounts(spark, d)).select("account_id", acc.split_draw().alias("split"))
+
+
 def text_tokens(spark: SparkSession, d: str) -> DataFrame:
     tokens = acc.with_tokens(acc.cleaned(_accounts(spark, d)))
     return tokens.select(
@@ -304,6 +441,9 @@ def rfm_profile(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "txn_parse": txn_parse,
     "txn_quarantine": txn_quarantine,
+    "txn_faults": txn_faults,
+    "classified_load": classified_load,
+    "classified_quarantine": classified_quarantine,
     "zip_distance": zip_distance,
     "txn_speed": txn_speed,
     "last10_stats": last10_stats,
@@ -312,10 +452,14 @@ QUERIES = {
     "lookup_build": lookup_build,
     "incremental_load": incremental_load,
     "incremental_replay": incremental_replay,
+    "incremental_late": incremental_late,
+    "incremental_lookup": incremental_lookup,
     "customer_view": customer_view,
+    "customer_view_live": customer_view_live,
     "fraud_rules": fraud_rules,
     "fraud_score": fraud_score,
     "stream_fraud": stream_fraud,
+    "stream_fraud_keyed": stream_fraud_keyed,
     "lookup_moved": lookup_moved,
     "play_frequency": play_frequency,
     "label_index": label_index,
@@ -330,10 +474,13 @@ QUERIES = {
     "cohort_assign": cohort_assign,
     "top_songs": top_songs,
     "top_listeners": top_listeners,
+    "top_partners": top_partners,
     "als_rmse": als_rmse,
+    "held_out_pairs": held_out_pairs,
     "first_accounts": first_accounts,
     "account_counts": account_counts,
     "text_clean": text_clean,
+    "account_split": account_split,
     "text_tokens": text_tokens,
     "text_terms": text_terms,
     "term_idf": term_idf,

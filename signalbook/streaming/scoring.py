@@ -9,7 +9,8 @@ its rows is split over tasks there too.  What a store holds:
 ``quarantine``      records that could not be read, by batch
 ``counts``          records per verdict or fault, by batch
 ``moves``           by batch: the new place and time of the cards that moved
-``seen``            by batch: the highest offset taken per topic and partition
+``seen``            by batch: the offsets taken so far per topic and partition,
+                    as merged ranges
 ``lookup``          by version: the whole lookup as it stood before a batch
 ==================  =========================================================
 
@@ -22,10 +23,11 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from signalbook.operators.intervals import merged, outside, ranges_of
 from signalbook.operators.journey_fold import DECISION_FIELDS
 from signalbook.plans import fraud
 from signalbook.schemas import LOOKUP, MOVES
@@ -34,7 +36,10 @@ from signalbook.sources.topics import identified
 #: A new version of the lookup is written every so many batches.
 VERSION_EVERY = 100
 
-SEEN = "topic string, partition int, offset bigint"
+SEEN = "topic string, partition int, low bigint, high bigint"
+SOURCE = ["topic", "partition"]
+STATUSES = ["GENUINE", "FRAUD", "UNKNOWN_CARD", "UNKNOWN_POSTCODE", "UNKNOWN_AMOUNT"]
+COUNTS = "status string, count bigint"
 CARRY = ["decision_id", *fraud.TRANSACTION]
 
 #: What :func:`decisions` returns, batch and event date from the folders.
@@ -82,43 +87,44 @@ def score_batch(
 ) -> None:
     """Score one micro-batch and record what it changed."""
     spark = records.sparkSession
-    new = unseen(records, _seen_before(spark, store, number))
-    parsed = fraud.parse_payloads(identified(new)).persist()
+    seen = _seen_before(spark, store, number)
+    parsed = fraud.parse_payloads(identified(unseen(records, seen))).persist()
     good = parsed.filter("reason is null").select(*CARRY)
     lookup = fraud.cards_in(good, lookup_before(spark, store, number, version_every))
     scored = fraud.score_transactions(good, lookup, zips, CARRY, rows_per_task)
 
+    # What is written is counted on its way.
     written = f"{store}/decisions/batch={number}"
     date = F.to_date(F.substring("transaction_dt", 1, 10), "dd-MM-yyyy")
-    scored.withColumn("event_date", date).write.mode("overwrite").partitionBy("event_date").parquet(written)
-    refused = fraud.quarantined(parsed)
+    verdicts, dated = _counting(scored.withColumn("event_date", date), "status", STATUSES)
+    dated.write.mode("overwrite").partitionBy("event_date").parquet(written)
+    faults, refused = _counting(fraud.quarantined(parsed), "reason", fraud.FAULTS)
     refused.write.mode("overwrite").parquet(f"{store}/quarantine/batch={number}")
+    counts = [(name, n) for name, n in {**verdicts.get, **faults.get}.items() if n]
+    spark.createDataFrame(counts, COUNTS).coalesce(1).write.mode("overwrite").parquet(f"{store}/counts/batch={number}")
 
-    # The verdicts are read back: moves and counts then rest on what was
-    # stored, and the source is not read again.
+    # The verdicts are read back: moves then rest on what was stored.
     stored = spark.read.schema(scored.schema).parquet(written)
     moves = fraud.closing_places(stored)
     moves.write.mode("overwrite").parquet(_moves(store, number))
-    per_status = stored.groupBy("status").count()
-    per_fault = refused.groupBy(F.col("reason").alias("status")).count()
-    per_status.unionByName(per_fault).write.mode("overwrite").parquet(f"{store}/counts/batch={number}")
-    seen = _seen_before(spark, store, number).unionAll(_highest(records))
-    seen.groupBy("topic", "partition").agg(F.max("offset").alias("offset")).write.mode("overwrite").parquet(_seen(store, number))
+    taken = merged(seen.unionByName(ranges_of(records, SOURCE, "offset")), SOURCE)
+    taken.write.mode("overwrite").parquet(_seen(store, number))
     parsed.unpersist()
 
 
-def unseen(records: DataFrame, seen: DataFrame) -> DataFrame:
-    """Records past the highest offset that earlier batches took of their
-    partition, each once; a source that reads its topic again adds nothing."""
-    high = seen.select("topic", "partition", F.col("offset").alias("_high"))
-    past = F.col("_high").isNull() | (F.col("offset") > F.col("_high"))
-    fresh = records.join(F.broadcast(high), ["topic", "partition"], "left").filter(past).drop("_high")
-    return fresh.dropDuplicates(["topic", "partition", "offset"])
+def _counting(df: DataFrame, column: str, values: list[str]) -> tuple[Observation, DataFrame]:
+    """``df``, and how many rows it had per value once it has been written."""
+    seen = Observation()
+    counts = [F.count(F.when(F.col(column) == v, 1)).alias(v) for v in values]
+    return seen, df.observe(seen, *counts)
 
 
-def _highest(records: DataFrame) -> DataFrame:
-    """One row per topic and partition."""
-    return records.groupBy("topic", "partition").agg(F.max("offset").cast("bigint").alias("offset"))
+def unseen(records: DataFrame, seen: DataFrame) -> DataFrame:
+    """Records whose offset no earlier batch has taken, in whatever order
+    offsets come; each once, of those that share an offset in this batch that
+    with the smaller value."""
+    fresh = outside(records, seen, SOURCE, "offset")
+    return fresh.groupBy(*SOURCE, "offset").agg(F.min("value").alias("value"))
 
 
 def _seen_before(spark: SparkSession, store: str, number: int) -> DataFrame:

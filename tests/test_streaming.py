@@ -117,3 +117,58 @@ def test_decisions_of_a_store_with_bad_records_only(spark, inputs, tmp_path):
     drop_files(spark, bad, source, 0, 1)
     run(spark, source, inputs, store)
     assert scoring.decisions(spark, store).count() == 0
+
+
+def test_offsets_in_any_order_are_taken_once(spark, inputs, tmp_path):
+    """A record that comes after higher offsets is no replay."""
+    records, expected, lookup, zips = inputs
+    store = str(tmp_path / "store")
+    lookup.write.parquet(f"{store}/lookup/version=0")
+    by_offset = dict(enumerate(records[:6]))
+    for number, n in enumerate((5, 3, 4, 5)):
+        one = spark.createDataFrame([by_offset[n]], topics.RECORD)
+        scoring.score_batch(one, number, zips, store)
+    assert set(stored(spark, store)) == {by_offset[n].offset for n in (3, 4, 5)}
+    taken = spark.read.parquet(f"{store}/seen/batch=3")
+    gaps = sorted(by_offset[n].offset for n in (3, 4, 5))
+    assert taken.count() == 1 + sum(b - a > 1 for a, b in zip(gaps, gaps[1:], strict=False))
+
+
+def test_files_out_of_offset_order(spark, inputs, tmp_path):
+    """All records get a verdict although files bring high offsets first."""
+    records, expected, _, _ = inputs
+    source, store = str(tmp_path / "in"), str(tmp_path / "store")
+    third = len(records) // 3
+    for n, part in enumerate((records[2 * third :], records[:third], records[third : 2 * third], records[:third])):
+        drop_files(spark, part, source, n, 1)
+        run(spark, source, inputs, store)
+    assert set(stored(spark, store)) == set(expected)
+
+
+def test_of_two_records_with_one_offset_the_smaller_value_stays(spark):
+    rows = [("t", 0, 1, "b"), ("t", 0, 1, "a"), ("t", 0, 2, "c")]
+    none = spark.createDataFrame([], scoring.SEEN)
+    for order in (rows, rows[::-1]):
+        got = scoring.unseen(spark.createDataFrame(order, topics.RECORD), none)
+        assert sorted(map(tuple, got.collect())) == [("t", 0, 1, "a"), ("t", 0, 2, "c")]
+
+
+def test_counts_come_with_the_pass(spark, inputs, tmp_path):
+    """The counts are those of what was stored, and no job reads it for them."""
+    records, _, lookup, zips = inputs
+    store = str(tmp_path / "store")
+    lookup.write.parquet(f"{store}/lookup/version=0")
+    bad = [("transactions", 1, 0, "{"), ("transactions", 1, 1, "{")]
+    places = fraud.Places(zips)
+    spark.sparkContext.setJobGroup("batch", "ten records")
+    scoring.score_batch(spark.createDataFrame(records[:8] + bad, topics.RECORD), 0, places, store)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("batch"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    counts = {r.status: r["count"] for r in spark.read.parquet(f"{store}/counts").collect()}
+    got = scoring.decisions(spark, store).groupBy("status").count().collect()
+    assert counts == {**{r.status: r["count"] for r in got}, "MALFORMED_JSON": 2}
+    assert jobs <= MOST_JOBS
+
+
+#: Jobs of a batch, with those by which adaptive execution computes one stage each.
+MOST_JOBS = 30
