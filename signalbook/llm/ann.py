@@ -6,6 +6,11 @@ goes down all trees through one priority queue, the most promising branch of
 any tree first, until the leaves it reached hold enough vectors; these are
 ranked exactly.  Vectors are lifted by one dimension to equal length, where
 the largest inner product is the smallest angle.
+
+How many vectors are enough is measured: some queries are answered exactly,
+and the budget is what their neighbours took to come up in the queue.  Where
+the data has clusters that is a small number; where it has none, as with
+random vectors in many dimensions, it is a share of all.
 """
 
 from __future__ import annotations
@@ -16,25 +21,31 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalbook.llm.store import stored
+from signalbook.operators.top_products import Best, rounding
 
 TREES = 10
 #: Vectors in a leaf, as far as the sample is fine enough for it.
-LEAF = 64
+LEAF = 32
 #: Vectors of the sample that the trees are fitted on.
 SAMPLE = 30_000
-#: Vectors in the leaves that a query visits, as a share of all leaves of all
-#: trees, and at least so many.  Without clusters in the data, recall follows
-#: the share that is searched and not the number.
-SHARE = 0.08
-SEARCHED = 10_000
-#: Rows of leaves and queries that one task compares at a time.
-PER_TASK = 50_000
+#: Bytes that the planes of the forest may take; leaves get larger beyond that.
+PLANES = 64 << 20
+#: Queries that are answered exactly to set the budget, and the part of their
+#: neighbours that the budget must reach.
+TRIALS = 100
+TARGET = 0.94
+#: Vectors in the leaves that a query visits, at least.
+SEARCHED = 2_000
+#: Bytes of the vectors that one task compares, and queries it compares them with.
+PER_TASK = 64 << 20
+QUERIES = 65_536
+#: Parts of the index, at least.
+PARTS = 24
 
 
 @dataclass
@@ -62,7 +73,7 @@ def grown(sample: np.ndarray, leaf: float, seed: int) -> Tree:
             norm = np.linalg.norm(plane)
             if norm == 0:
                 continue
-            along = sample[rows] @ (plane / norm)
+            along = sample[rows] @ (plane / norm).astype(np.float32)
             cut = float(np.median(along))
             right = along > cut
             if right.any():
@@ -73,14 +84,14 @@ def grown(sample: np.ndarray, leaf: float, seed: int) -> Tree:
             n_leaves += 1
         else:
             own = len(planes)
-            planes.append(split[0])
+            planes.append(split[0].astype(np.float32))
             cuts.append(split[1])
             children.append([0, 0])
             todo += [(rows[split[2]], own, 1), (rows[~split[2]], own, 0)]
         if parent >= 0:
             children[parent][side] = own
     dim = sample.shape[1]
-    return Tree(np.array(planes).reshape(-1, dim), np.array(cuts), np.array(children, int).reshape(-1, 2), n_leaves)
+    return Tree(np.array(planes, np.float32).reshape(-1, dim), np.array(cuts), np.array(children, int).reshape(-1, 2), n_leaves)
 
 
 def leaves(tree: Tree, vectors: np.ndarray) -> np.ndarray:
@@ -99,30 +110,28 @@ def leaves(tree: Tree, vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def visited(forest: list[Tree], sizes: list[np.ndarray], query: np.ndarray, enough: int) -> list[tuple[int, int]]:
-    """(tree, leaf) pairs in the order of the shared queue, until their vectors
-    are ``enough``.  A branch is as promising as the worst margin on its way."""
-    margins = [t.planes @ query - t.cuts for t in forest]
-    queue = [(-math.inf, t, 0 if len(tree.planes) else -1) for t, tree in enumerate(forest)]
-    heapq.heapify(queue)
-    found, held = [], 0
-    while queue and held < enough:
-        worst, t, node = heapq.heappop(queue)
+def visited(forest: list[Tree], sizes: list[np.ndarray], query: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(tree, leaf, size) in the order of the shared queue.  A branch is as
+    promising as the sum of the squares of the margins that were passed over on
+    its way is small.  Margins are taken only along the way."""
+    queue = [(0.0, t, 0 if len(tree.planes) else -1) for t, tree in enumerate(forest)]
+    while queue:
+        passed, t, node = heapq.heappop(queue)
+        tree = forest[t]
         while node >= 0:
-            margin = margins[t][node]
-            low, high = forest[t].children[node]
+            margin = float(tree.planes[node] @ query) - tree.cuts[node]
+            low, high = tree.children[node]
             near, far = (high, low) if margin > 0 else (low, high)
-            heapq.heappush(queue, (max(worst, abs(margin)), t, int(far)))
+            heapq.heappush(queue, (passed + margin * margin, t, int(far)))
             node = int(near)
         leaf = -1 - node
         if sizes[t][leaf]:
-            found.append((t, leaf))
-            held += int(sizes[t][leaf])
-    return found
+            yield t, leaf, int(sizes[t][leaf])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(len(column), len(flat) // max(1, len(column)))
 
 
 def _lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
@@ -130,157 +139,215 @@ def _lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
     return np.hstack([vectors, rest[:, None]])
 
 
-class _Best:
-    """The ``k`` best distinct (v, score) of each q among those added."""
-
-    def __init__(self, k: int) -> None:
-        self.k, self.kept, self.new, self.n = k, None, [], 0
-
-    def add(self, q: np.ndarray, v: np.ndarray, score: np.ndarray) -> None:
-        self.new.append((q, v, score))
-        self.n += len(q)
-        if self.n > 2_000_000:
-            self.rows()
-
-    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        parts = self.new if self.kept is None else [self.kept, *self.new]
-        if not parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        q, v, score = (np.concatenate(c) for c in zip(*parts, strict=True))
-        order = np.lexsort((v, -score, q))
-        q, v, score = q[order], v[order], score[order]
-        # The same vector from several trees, whose scores may differ in the last bit.
-        pairs = np.lexsort((v, q))
-        again = np.zeros(len(q), bool)
-        again[pairs[1:]] = (q[pairs][1:] == q[pairs][:-1]) & (v[pairs][1:] == v[pairs][:-1])
-        q, v, score = q[~again], v[~again], score[~again]
-        starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-        place = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
-        top = place < self.k
-        self.kept, self.new, self.n = (q[top], v[top], score[top]), [], int(top.sum())
-        return self.kept
-
-
 def usable(embeddings: DataFrame) -> DataFrame:
     """``vec_id``, ``vector`` (doubles) of the rows that take part: no null, no
-    zero vector, no component that is null or not finite, and of the length
-    that most rows have (the smaller one on a tie)."""
-    rows = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).filter(
+    zero vector, no component that is null or not finite."""
+    return embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).filter(
         "vec_id is not null and size(vector) > 0 and exists(vector, x -> x <> 0)"
         " and forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('infinity'))"
     )
-    sizes = rows.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.orderBy(F.desc("n"), "dim").first()
-    return rows.filter(F.size("vector") == (top.dim if top else 0))
 
 
-def nearest(embeddings: DataFrame, is_query, k: int = 20, searched: int | None = None) -> DataFrame:
+def nearest(embeddings: DataFrame, is_query: Column, k: int = 20, searched: int | None = None) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest found
     per query: rows of ``embeddings`` (``vec_id``, ``embedding``) for which the
     condition ``is_query`` holds.
 
-    A query is no neighbour of its own id.  Equal vectors are indexed once, by
+    A query is no neighbour of its own id, and is compared with vectors of its
+    own length only.  Higher scores come first, ties by smaller ``vec_id``, however many
+    share a score.  Equal vectors are indexed once, by
     their ``k + 1`` smallest ids, which are all that a list of ``k`` can show;
     so a vector that many rows repeat weighs like one.  Repeated ids with the
-    same vector count once.  With fewer vectors than ``searched``, all are found.
+    same vector count once.  An empty table, or one without queries, gives an
+    empty one.  ``searched`` sets the budget by hand; with fewer vectors than
+    that, all are found.
     """
     rows = usable(embeddings).distinct()
+    lengths = [r[0] for r in rows.select(F.size("vector").alias("n")).distinct().orderBy("n").collect()]
+    found = [_nearest(rows.filter(F.size("vector") == n), is_query, k, searched) for n in lengths]
+    if not found:
+        return rows.limit(0).select(
+            F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")
+        )
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionAll(more)
+    return out
+
+
+def fitted(vectors: DataFrame, n: int, longest: float) -> list[Tree]:
+    """The forest of a table of vectors, from a sample of them."""
+    draw = F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = vectors.filter(draw * n < SAMPLE).select("vector").toArrow().column("vector").combine_chunks()
+    lifted = _lifted(_matrix(sample), longest) if len(sample) else np.zeros((0, 1))
+    if not len(sample):
+        width = len(vectors.first().vector) + 1
+        return [Tree(np.zeros((0, width), np.float32), np.zeros(0), np.zeros((0, 2), int), 1)]
+    lifted = lifted[np.lexsort(lifted.T)]
+    nodes = max(1, PLANES // (4 * TREES * lifted.shape[1]))
+    leaf = max(LEAF * len(lifted) / n, 2 * len(lifted) / nodes)  # halving may end at half a leaf
+    return [grown(lifted, leaf, seed) for seed in range(TREES)]
+
+
+def trials(asked: DataFrame, vectors: DataFrame, k: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Some queries, and the ``k`` nearest vectors of each but its own, from all vectors."""
+    some = asked.orderBy(F.xxhash64("vector"), "v").limit(TRIALS).toArrow()
+    queries = _matrix(some.column("vector").combine_chunks())
+    own = some.column("v").to_numpy()
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = queries @ _matrix(batch.column("vector")).T
+            scores[own[:, None] == batch.column("v").to_numpy()[None, :]] = -np.inf
+            top = min(k, batch.num_rows)
+            at = np.argpartition(-scores, top - 1, axis=1)[:, :top]
+            trial = np.repeat(np.arange(len(queries)), top)
+            yield pa.record_batch(
+                [pa.array(trial), pa.array(np.take_along_axis(scores, at, axis=1).ravel()), batch.column("vector").take(pa.array(at.ravel()))],
+                names=["trial", "score", "vector"],
+            )
+
+    near = vectors.select("v", "vector").mapInArrow(best, "trial long, score double, vector array<double>")
+    first = Window.partitionBy("trial").orderBy(F.desc("score"))
+    near = near.filter("score > double('-infinity')").withColumn("at", F.row_number().over(first))
+    found = near.filter(F.col("at") <= k).select("trial", "vector").toArrow()
+    trial, nearest_ = found.column("trial").to_numpy(), _matrix(found.column("vector").combine_chunks())
+    return queries, [nearest_[trial == i] for i in range(len(queries))]
+
+
+def budget(
+    forest: list[Tree], sizes: list[np.ndarray], queries: np.ndarray, neighbours: list[np.ndarray], longest: float
+) -> int:
+    """Vectors in the leaves that a query must visit to find :data:`TARGET` of
+    its neighbours, as these queries do."""
+    taken: list[int] = []
+    for query, near in zip(np.hstack([queries, np.zeros((len(queries), 1))]), neighbours, strict=True):
+        lifted = _lifted(near.reshape(-1, len(query) - 1), longest)
+        at = np.stack([leaves(tree, lifted) for tree in forest])
+        missing = np.ones(len(near), bool)
+        held = 0
+        for t, leaf, size in visited(forest, sizes, query):
+            if not missing.any():
+                break
+            held += size
+            hit = missing & (at[t] == leaf)
+            taken += [held] * int(hit.sum())
+            missing &= ~hit
+    return int(np.quantile(taken, TARGET, method="higher")) if taken else 0
+
+
+def _nearest(rows: DataFrame, is_query: Column, k: int, searched: int | None) -> DataFrame:
+    """:func:`nearest` among distinct (``vec_id``, ``vector``) of one length."""
     same = Window.partitionBy("vector").orderBy("vec_id")
     first = rows.withColumn("at", F.row_number().over(same)).filter(F.col("at") <= k + 1)
     vectors = first.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     vectors = stored(vectors.withColumn("v", F.monotonically_increasing_id()), "vectors")
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    n, longest = vectors.agg(F.count(F.lit(1)), F.sqrt(F.max(square))).first()
-    searched = searched or max(SEARCHED, math.ceil(SHARE * TREES * n))
+    n, longest, width = vectors.agg(F.count(F.lit(1)), F.sqrt(F.max(square)), F.max(F.size("vector"))).first()
     queries = rows.filter(is_query).join(vectors.select("vector", "v"), "vector").select("vec_id", "v")
     queries = stored(queries, "queries")
-    if n == 0:
+    asked = queries.select("v").distinct().join(vectors.select("v", "vector"), "v")
+    n_asked = asked.count()
+    if n_asked == 0:
         return queries.select(
             F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")
         ).limit(0)
-    draw = F.pmod(F.xxhash64("vector"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = vectors.filter(draw * n < SAMPLE).select("vector").toPandas()["vector"]
-    sample = np.stack(sample.to_list()) if len(sample) else np.zeros((0, 1))
-    forest = []
-    if len(sample):
-        lifted = _lifted(sample, longest)
-        lifted = lifted[np.lexsort(lifted.T)]
-        forest = [grown(lifted, LEAF * len(sample) / n, seed) for seed in range(TREES)]
-    else:
-        dim = len(vectors.first().vector)
-        forest = [Tree(np.zeros((0, dim + 1)), np.zeros(0), np.zeros((0, 2), int), 1)]
-    spark = embeddings.sparkSession
+    forest = fitted(vectors, n, longest)
+    spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(forest)
+    # The index and the queries meet part by part; both may be cut further.
+    parts = max(PARTS, math.ceil(n * len(forest) * width * 8 / PER_TASK))
+    blocks = math.ceil(n_asked / QUERIES)
+    slack = rounding(width, longest, longest)
+
+    def code(t, leaf):
+        return leaf * len(forest) + t
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lifted = _lifted(_matrix(batch.column("vector")), longest)
             for t, tree in enumerate(shared.value):
-                at = leaves(tree, lifted)
+                at = code(t, leaves(tree, lifted))
                 yield pa.record_batch(
-                    [pa.array(np.full(len(at), t, np.int32)), pa.array(at), batch.column("v"), batch.column("vector")],
-                    names=["tree", "leaf", "v", "vector"],
-                )
+                    [pa.array((at % parts).astype(np.int32)), pa.array(at), batch.column("v"), batch.column("first"), batch.column("vector")],
+                    names=["part", "leaf", "v", "first", "vector"],
+                )
 
-    index = vectors.select("v", "vector").mapInArrow(placed, "tree int, leaf long, v long, vector array<double>")
+    index = vectors.select("v", F.col("ids")[0].alias("first"), "vector").mapInArrow(
+        placed, "part int, leaf long, v long, first long, vector array<double>"
+    )
     index = stored(index, "index")
-    counted = index.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    counted = index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).toPandas()
     sizes = [np.zeros(t.n_leaves, np.int64) for t in forest]
-    for t, leaf, size in counted.itertuples(index=False):
-        sizes[t][leaf] = size
+    for at, size in counted.itertuples(index=False):
+        sizes[at % len(forest)][at // len(forest)] = size
+    if searched is None:
+        searched = max(SEARCHED, budget(forest, sizes, *trials(asked, vectors, k), longest))
     shared_sizes = spark.sparkContext.broadcast(sizes)
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per query and part with the leaves that it visits there."""
         for batch in batches:
             matrix = _matrix(batch.column("vector"))
-            lifted = np.hstack([matrix, np.zeros((len(matrix), 1))])
-            ways = [visited(shared.value, shared_sizes.value, q, searched) for q in lifted]
-            row = np.repeat(np.arange(len(ways)), [len(w) for w in ways])
-            flat = np.array([p for w in ways for p in w], dtype=np.int64).reshape(-1, 2)
+            rows, into, lists = [], [], []
+            for i, query in enumerate(np.hstack([matrix, np.zeros((len(matrix), 1))])):
+                ways, held = [], 0
+                for t, leaf, size in visited(shared.value, shared_sizes.value, query):
+                    ways.append(code(t, leaf))
+                    held += size
+                    if held >= searched:
+                        break
+                ways = np.array(ways, np.int64)
+                ways = ways[np.argsort(ways % parts, kind="stable")]
+                own, starts = np.unique(ways % parts, return_index=True)
+                rows += [i] * len(own)
+                into += own.tolist()
+                lists += np.split(ways, starts[1:])
             yield pa.record_batch(
-                [pa.array(flat[:, 0].astype(np.int32)), pa.array(flat[:, 1]), batch.column("v").take(pa.array(row))],
-                names=["tree", "leaf", "q"],
-            )
+                [pa.array(into, pa.int32()), batch.column("v").take(pa.array(rows, pa.int64())), pa.array(lists, pa.list_(pa.int64())), batch.column("vector").take(pa.array(rows, pa.int64()))],
+                names=["part", "q", "leaves", "query"],
+            )
 
-    asked = queries.select("v").distinct().join(vectors.select("v", "vector"), "v")
-    routes = asked.mapInArrow(routed, "tree int, leaf long, q long")
-    parts = max(1, math.ceil((n * len(forest) + searched / LEAF * n / 20) / PER_TASK))
-    part = F.pmod(F.xxhash64("tree", "leaf"), F.lit(parts)).alias("part")
-    asks = routes.join(asked.select(F.col("v").alias("q"), F.col("vector").alias("query")), "q")
+    kinds = pa.schema([("q", pa.int64()), ("v", pa.int64()), ("first", pa.int64()), ("score", pa.float64())])
 
-    def compared(_key, side: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+    def compared(asks: pa.Table, own: pa.Table) -> pa.Table:
         """The best ``k + 1`` of each query over all leaves of one part."""
-        held = {key: g for key, g in own.groupby(["tree", "leaf"])}
-        best = _Best(k + 1)
-        for key, asks_here in side.groupby(["tree", "leaf"]):
-            block = held.get(key)
-            if block is None:
-                continue
-            points, ids = np.stack(block["vector"].to_list()), block["v"].to_numpy()
-            for at in range(0, len(asks_here), 1024):
-                some = asks_here.iloc[at : at + 1024]
-                scores = np.stack(some["query"].to_list()) @ points.T
-                top = min(k + 1, len(ids))
-                first = np.argpartition(-scores, top - 1, axis=1)[:, :top]
-                q = np.repeat(some["q"].to_numpy(), top)
-                best.add(q, ids[first.ravel()], np.take_along_axis(scores, first, axis=1).ravel())
-        q, v, score = best.rows()
-        return pd.DataFrame({"q": q, "v": v, "score": score})
-
+        if not len(asks) or not len(own):
+            return kinds.empty_table()
+        own = own.sort_by("leaf")
+        ids, numbers = own.column("first").to_numpy(), own.column("v").to_numpy()
+        points, queries_ = (_matrix(t.column(c).combine_chunks()) for t, c in ((own, "vector"), (asks, "query")))
+        lists = asks.column("leaves").combine_chunks()
+        wanted = lists.flatten().to_numpy()
+        row = np.repeat(np.arange(len(asks)), np.diff(lists.offsets.to_numpy()))
+        order = np.argsort(wanted, kind="stable")
+        wanted, row = wanted[order], row[order]
+        best = Best(k + 1, queries_, points, numbers, ids, slack)
+        held, starts = np.unique(own.column("leaf").to_numpy(), return_index=True)
+        ends = np.r_[starts[1:], len(points)]
+        low, high = np.searchsorted(wanted, held), np.searchsorted(wanted, held, side="right")
+        for a, b, begin, end in zip(starts, ends, low, high, strict=True):
+            for at in range(begin, end, 1024):
+                some = row[at : min(end, at + 1024)]
+                best.add(some, a, queries_[some] @ points[a:b].T)
+        q, v, score = best.cut()
+        asked_ = asks.column("q").to_numpy()
+        return pa.table([pa.array(asked_[q]), pa.array(numbers[v]), pa.array(ids[v]), pa.array(score)], schema=kinds)
+
+    block = F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("int").alias("block")
+    routes = asked.mapInArrow(routed, "part int, q long, leaves array<long>, query array<double>").select("*", block)
+    held = index if blocks == 1 else index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    held = held.withColumn("block", F.lit(0)) if blocks == 1 else held
     near = (
-        asks.select(part, "tree", "leaf", "q", "query")
-        .groupBy("part")
-        .cogroup(index.select(part, "tree", "leaf", "v", "vector").groupBy("part"))
-        .applyInPandas(compared, "q long, v long, score double")
+        routes.groupBy("part", "block")
+        .cogroup(held.groupBy("part", "block"))
+        .applyInArrow(compared, "q long, v long, first long, score double")
         .groupBy("q", "v")
-        .agg(F.max("score").alias("score"))
+        .agg(F.max("score").alias("score"), F.min("first").alias("first"))
     )
-    by_score = Window.partitionBy("q").orderBy(F.desc("score"), "v")
-    near = near.withColumn("at", F.row_number().over(by_score)).filter(F.col("at") <= k + 1).select("q", "v")
-    a = vectors.select(F.col("v").alias("q"), F.col("vector").alias("query"))
-    exact = near.join(a, "q").join(vectors, "v")
-    product = F.aggregate(F.zip_with("query", "vector", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    exact = exact.select("q", F.explode("ids").alias("vec_id"), product.alias("score"))
+    by_score = Window.partitionBy("q").orderBy(F.desc("score"), "first", "v")
+    near = near.withColumn("at", F.row_number().over(by_score)).filter(F.col("at") <= k + 1).select("q", "v", "score")
+    exact = near.join(vectors.select("v", "ids"), "v").select("q", F.explode("ids").alias("vec_id"), "score")
     found = queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).join(exact, "q")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (

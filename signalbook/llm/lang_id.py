@@ -138,6 +138,25 @@ def long_word(pieces: Pieces, word: bytes, logs: np.ndarray) -> np.ndarray:
     return total[-1]
 
 
+def long_expected(pieces: Pieces, word: bytes, logs: np.ndarray) -> tuple[list[int], list[float]]:
+    """Numbers of pieces and how often each is expected over all segmentations
+    of one word of any length; ``logs`` is one language's."""
+    found = []
+    for end in range(1, len(word) + 1):
+        for begin in range(max(0, end - pieces.longest), end):
+            number = pieces.number.get(word[begin:end])
+            if number is not None:
+                found.append((begin, end, number))
+    ahead, behind = np.full(len(word) + 1, -np.inf), np.full(len(word) + 1, -np.inf)
+    ahead[0] = behind[-1] = 0.0
+    for begin, end, number in found:
+        ahead[end] = np.logaddexp(ahead[end], ahead[begin] + logs[number])
+    for begin, end, number in sorted(found, key=lambda s: -s[0]):
+        behind[begin] = np.logaddexp(behind[begin], behind[end] + logs[number])
+    shares = [float(np.exp(ahead[b] + logs[k] + behind[e] - ahead[-1])) for b, e, k in found]
+    return [k for _, _, k in found], shares
+
+
 def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places and byte rows of the words, those of one length together."""
     lengths = np.array([len(w) for w in words])
@@ -150,10 +169,11 @@ def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """The lower-cased letter runs of a column and the row each is in."""
+    """The lower-cased runs of letters and marks of a column, and the row each
+    is in; a run without a letter is no word."""
     runs = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")), _BREAKS)
     words, rows = pc.list_flatten(runs), pc.list_parent_indices(runs)
-    full = pc.greater(pc.binary_length(words), 0)
+    full = pc.match_substring_regex(words, r"\p{L}")
     return words.filter(full).dictionary_encode(), rows.filter(full).to_numpy()
 
 
@@ -182,7 +202,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _expectations(path: str, langs: list[str], table: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = vocabulary(path)
-        scaled = _scaled(pieces, table)
+        scaled, logs = _scaled(pieces, table), None
         sums = np.zeros_like(table)
         for batch in batches:
             which = np.array([langs.index(x) for x in batch.column("lang").to_pylist()])
@@ -192,6 +212,11 @@ def _expectations(path: str, langs: list[str], table: np.ndarray):
                 for k in np.unique(which[at]):
                     own = which[at] == k
                     sums[:, k] += expected(pieces, letters[own], n[at][own], scaled[:, k])
+            for i, word in enumerate(words):
+                if len(word) > _LONG:
+                    logs = np.log(table) if logs is None else logs
+                    number, share = long_expected(pieces, word, logs[:, which[i]])
+                    np.add.at(sums[:, which[i]], number, np.multiply(share, n[i]))
         number, lang = np.nonzero(sums)
         yield pa.record_batch(
             [pa.array(lang.astype(np.int32)), pa.array(number.astype(np.int32)), pa.array(sums[number, lang])],
@@ -212,7 +237,6 @@ def fit(docs: DataFrame, path: str | None = None, fit_docs: int | None = None) -
 
     About ``fit_docs`` documents of each language are drawn by a hash of their
     id.  What comes to the driver is the table, pieces times languages.
-    Words over ``_LONG`` bytes take no part in the fit.
     """
     path, fit_docs = path or default_vocabulary(), fit_docs or FIT_DOCS
     labelled = docs.filter("lang is not null and text is not null").select("doc_id", "text", "lang")

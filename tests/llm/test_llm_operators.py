@@ -505,3 +505,32 @@ def test_pipeline_is_its_stages(spark, tiny):
     assert 0.5 * docs.count() < kept <= docs.count()
     fill = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"))
     assert fill.agg(F.max("n")).first()[0] <= 2048
+
+
+# --- language: marks and long runs -------------------------------------------------
+
+
+def test_marks_alone_are_no_word(spark):
+    docs = [(i, "der hund und die katze" if i % 2 else "the dog and the cat", "de" if i % 2 else "en") for i in range(20)]
+    langs, table = lang_id.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    odd = [(1, "́̂"), (2, "é"), (3, "12 ̈ !"), (4, "the ́")]
+    got = lang_id.predict(spark.createDataFrame(odd, "doc_id long, text string"), langs, table).collect()
+    assert {r.doc_id: r.lang_pred == "und" for r in got} == {1: True, 2: False, 3: True, 4: False}
+
+
+def test_long_runs_are_learned(spark):
+    """A script without blanks, whose letter runs all have over 40 bytes."""
+    thai, greek = "กขคงจฉชซ" * 6, "αβγδεζηθ" * 9
+    docs = [(i, (thai if i % 2 else greek)[i % 5 :], "th" if i % 2 else "el") for i in range(40)]
+    langs, table = lang_id.fit(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    new = [(1, "ชซกขคงจฉ" * 5), (2, "ηθαβγδεζ" * 6)]
+    got = lang_id.predict(spark.createDataFrame(new, "doc_id long, text string"), langs, table).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {1: "th", 2: "el"}
+    # Both ways of counting agree on words that either can take.
+    pieces = lang_id.vocabulary(lang_id.default_vocabulary())
+    for word in (b" straffen", b" the", " größe".encode()):
+        rows = np.frombuffer(word, np.uint8).reshape(1, -1)
+        whole = lang_id.expected(pieces, rows, np.ones(1), lang_id._scaled(pieces, table)[:, 0])
+        single = np.zeros(len(whole))
+        np.add.at(single, *lang_id.long_expected(pieces, word, np.log(table)[:, 0]))
+        assert np.allclose(whole, single)
