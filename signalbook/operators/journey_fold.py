@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import sys
 from itertools import chain
-from math import acos, cos, floor, nan, pi, sin
+from math import acos, ceil, cos, floor, nan, pi, sin
 
 import numpy as np
 import pyarrow as pa
@@ -119,26 +119,78 @@ def decide(keep):
 
 
 # A heavy card is cut into chunks that are walked at the same time, although
-# a chunk's verdicts depend on the place its predecessor ends at.  Each chunk is
-# therefore first walked from a few places it probably starts from, and again
-# from ends its predecessor turned out to have, until these ends can be strung
-# together from the card's own start.  Two walks become one at the first row
-# that can be reached from both.
+# a chunk's verdicts depend on the place its predecessor ends at.  A place that
+# a chunk can end at is one of its own rows or the place it started from; so
+# the rows that are ends are found first, then where each chunk leads from the
+# ends before it, and these maps are strung together.  Two walks become one
+# at the first row that can be reached from both.
 
-#: Places a chunk is walked from at once.
-WALKS = 32
+#: After so many seconds every place can be reached from every other.
+HORIZON = ceil(180.0 * MINUTES_PER_DEGREE * STATUTE_PER_NAUTICAL * KM_PER_MILE / SPEED_LIMIT) + 1
 
 ENDS_SCHEMA = "card_id string, chunk int, lat double, lon double, epoch bigint"
 STEP_SCHEMA = ENDS_SCHEMA + ", to_lat double, to_lon double, to_epoch bigint"
 
 WALK_INPUT = ["card_id", "chunk", "kind", "epoch", "lat", "lon", "blocked"]
+_ENDS = [pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.int64()]
+
+#: Kilometres by which two ways of computing a distance differ at most.
+_DOUBT = 1e-4
+
+
+class _Open:
+    """Places that no later row could be reached from yet."""
+
+    def __init__(self):
+        self.at = np.zeros((16, 5))
+        self.n = 0
+
+    def meet(self, here):
+        """Drops the places that ``here`` can be reached from, and adds it.
+        Where the limit is near, the exact journey decides."""
+        at = self.at[: self.n]
+        c = at[:, 0] * here[0] + at[:, 1] * here[1] * np.cos((at[:, 2] - here[2]) * pi / 180.0)
+        km = np.arccos(np.clip(c, -1.0, 1.0)) * 180.0 / pi * MINUTES_PER_DEGREE * STATUTE_PER_NAUTICAL * KM_PER_MILE
+        limit = SPEED_LIMIT * np.abs(here[3] - at[:, 3])
+        stay = km - 0.01 - _DOUBT > limit
+        for i in np.flatnonzero(~stay & (km + _DOUBT >= limit)).tolist():
+            one = at[i].tolist()
+            stay[i] = journey((*one[:3], int(one[3]), one[4]), here)[2]
+        kept = at[stay]
+        if len(kept) == len(self.at):
+            self.at = np.vstack([self.at, np.zeros_like(self.at)])
+        self.at[: len(kept)] = kept
+        self.at[len(kept)] = here
+        self.n = len(kept) + 1
+
+    def rows(self, key):
+        return [(*key, p[4], p[2], int(p[3])) for p in self.at[: self.n].tolist()]
+
+
+def ends(batches):
+    """The rows of each chunk that it can end at, wherever it starts."""
+    key, held = None, _Open()
+
+    def found():
+        columns = zip(zip(*held.rows(key), strict=True), _ENDS, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=["card_id", "chunk", "lat", "lon", "epoch"])
+
+    rows = (zip(*(b.column(n).to_pylist() for n in WALK_INPUT), strict=True) for b in batches)
+    for card, chunk, _kind, epoch, lat, lon, blocked in chain.from_iterable(rows):
+        if key != (card, chunk):
+            if held.n:
+                yield found()
+            key, held = (card, chunk), _Open()
+        if not blocked:
+            held.meet(place(lat, lon, epoch))
+    if held.n:
+        yield found()
 
 
 def steps(batches):
-    """Where each chunk ends, for each place it is said to start from
-    (:data:`WALKS` at most)."""
+    """Where each chunk ends, for each place it is said to start from."""
     names = ["card_id", "chunk", "lat", "lon", "epoch", "to_lat", "to_lon", "to_epoch"]
-    types = [pa.string(), pa.int32()] + [pa.float64(), pa.float64(), pa.int64()] * 2
+    types = _ENDS + _ENDS[2:]
 
     def found(key, held):
         rows = [(*key, s[4], s[2], s[3], p[4], p[2], p[3]) for p, starts in held.items() for s in starts]
@@ -165,22 +217,3 @@ def steps(batches):
                         held[here] += held.pop(p)
     if held:
         yield found(key, held)
-
-
-def true_starts(pdf):
-    """For one card's chunks in order: the place each does start from, as far
-    as the walks made so far tell.  The input has one row per walk of a chunk,
-    and the card's own start as chunk -1."""
-    at, out = None, []
-    for chunk, group in pdf.groupby("chunk", sort=True):
-        rows = list(group.drop(columns=["card_id", "chunk"]).itertuples(index=False, name=None))
-        if chunk < 0:
-            at = rows[0][:3]
-            continue
-        out.append((chunk, *at))
-        at = next((r[3:] for r in rows if r[:3] == at), None)
-        if at is None:
-            break
-    frame = type(pdf)(out, columns=["chunk", "lat", "lon", "epoch"]).astype({"chunk": "int32", "epoch": "int64"})
-    frame.insert(0, "card_id", pdf["card_id"].iloc[0])
-    return frame

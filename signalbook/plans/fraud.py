@@ -347,55 +347,58 @@ def _strung(walk: DataFrame, first: DataFrame) -> DataFrame:
     """The place each chunk of ``walk`` starts from, given each card's own
     start ``first`` (chunk -1).
 
-    Whoever ends a chunk at a place is at the newest row there that nothing
-    blocks.  So a chunk is first walked from the ``WALKS`` newest such places of
-    the chunk before it; then, in every round, from the ends of its predecessor
-    that it has not been walked from, all chunks at the same time.  A card with
-    few places needs one round.  With more, walks that were started wrong meet
-    the right one, the sooner the fewer rows the card has a day, and two or
-    three rounds do if that takes less than a chunk; the number of chunks
-    bounds the rounds.  A round costs ``WALKS`` journeys a row at most, whatever
-    the number of places.  What is kept between rounds has ``WALKS`` rows a
-    chunk and round, and the number of chunks is bounded by the slots of the
-    cluster.
+    A chunk is a map from the place it starts from to the place it ends at.
+    All chunks are walked twice, at the same time: once for the rows that they
+    can end at, and once from the places that they can start from.  These are
+    the ends of the chunk before, those of older chunks that a chunk in between
+    may leave alone because it ends before every place can be reached from
+    them, and the card's own start.  The maps are then composed in pairs, pairs
+    of pairs and so on, so the rounds that follow are as many as the number of
+    chunks has binary digits, whatever the places are, and look only at maps.
+    A map has as many rows as a chunk has ends, which depends on how many
+    places a card is at within a day; the number of chunks is bounded by the
+    slots of the cluster.
     """
     at = ["lat", "lon", "epoch"]
-    newest = walk.filter(~F.col("blocked")).groupBy("card_id", "chunk", "lat", "lon").agg(F.max("epoch").alias("epoch"))
-    latest = newest_rows(newest, ["card_id", "chunk"], ["epoch", "lat", "lon"], fold.WALKS)
-    likely = latest.unionByName(first, allowMissingColumns=True).groupBy("card_id", "chunk")
-    likely = likely.agg(F.collect_list(F.struct(*at)).alias("likely"))
-    every = walk.select("card_id", "chunk").unionAll(first.select("card_id", "chunk")).distinct()
+    to = ["to_" + n for n in at]
     in_order = Window.partitionBy("card_id").orderBy("chunk")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    guessed = checkpointed(
-        every.join(likely, ["card_id", "chunk"], "left").select(
+    reach = F.max(F.when(~F.col("blocked"), F.col("epoch"))).alias("reach")
+    chunks = checkpointed(
+        walk.groupBy("card_id", "chunk").agg(reach).select(
             "card_id",
             "chunk",
-            F.last("likely", ignorenulls=True).over(before).alias("likely"),
-            F.lead("chunk").over(in_order).alias("following"),
+            (F.row_number().over(in_order) - 1).alias("pos"),
+            F.max("reach").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
         )
     )
-    order = guessed.select("card_id", "chunk", "following").filter("following is not null")
-    guessed = guessed.filter("chunk >= 0")
-    chunks, known = guessed.count(), None
-    starts = guessed.select("card_id", "chunk", F.inline("likely"))
-    while True:
-        rows = walk.join(F.broadcast(starts.select("card_id", "chunk").distinct()), ["card_id", "chunk"], "left_semi")
-        walked = checkpointed(_with_starts(rows, starts).mapInArrow(fold.steps, fold.STEP_SCHEMA))
-        known = walked if known is None else checkpointed(known.unionAll(walked))
-        true = checkpointed(
-            known.unionByName(first, allowMissingColumns=True)
-            .groupBy("card_id")
-            .applyInPandas(fold.true_starts, fold.ENDS_SCHEMA)
-        )
-        # Whoever reaches the last chunk of a card knows its start, walked or not.
-        if true.count() == chunks:
-            return true
-        ended = walked.join(F.broadcast(order), ["card_id", "chunk"]).select(
-            "card_id", F.col("following").alias("chunk"), *[F.col("to_" + n).alias(n) for n in at]
-        )
-        tried = known.select("card_id", "chunk", *at)
-        starts = checkpointed(ended.distinct().join(tried, tried.columns, "left_anti"))
+    small = F.broadcast(chunks)
+    rows = walk.withColumn("kind", F.lit(fold.TRANSACTION)).repartition("card_id", "chunk")
+    rows = rows.sortWithinPartitions("card_id", "chunk", *ORDER)
+    ends = rows.mapInArrow(fold.ends, fold.ENDS_SCHEMA).join(small.select("card_id", "chunk", "pos"), ["card_id", "chunk"])
+    after = chunks.select("card_id", F.col("chunk").alias("_chunk"), F.col("pos").alias("_pos"), "before")
+    leads = (F.col("_pos") == F.col("pos") + 1) | (
+        (F.col("_pos") > F.col("pos")) & (F.coalesce("before", F.col("epoch")) < F.col("epoch") + fold.HORIZON)
+    )
+    passed = ends.join(F.broadcast(after), "card_id").filter(leads).select("card_id", F.col("_chunk").alias("chunk"), *at)
+    own = first.drop("chunk").join(small.select("card_id", "chunk"), "card_id").select("card_id", "chunk", *at)
+    starts = checkpointed(passed.unionAll(own).distinct())
+    walked = _with_starts(walk, starts).mapInArrow(fold.steps, fold.STEP_SCHEMA)
+    jump = walked.join(small.select("card_id", "chunk", "pos"), ["card_id", "chunk"])
+    jump = checkpointed(jump.select("card_id", "pos", *at, (F.col("pos") + 1).alias("to_pos"), *to))
+    true = first.select("card_id", F.lit(0).alias("pos"), *at)
+    rounds = (chunks.agg(F.max("pos")).first()[0] or 0).bit_length()
+    for turn in range(rounds):
+        step = true.join(jump, ["card_id", "pos", *at]).select("card_id", F.col("to_pos").alias("pos"), *[F.col("to_" + n).alias(n) for n in at])
+        true = checkpointed(true.unionAll(step).distinct())
+        if turn == rounds - 1:
+            break
+        onward = jump.select(
+            "card_id", F.col("pos").alias("to_pos"), *[F.col(n).alias("to_" + n) for n in at],
+            F.col("to_pos").alias("_pos"), *[F.col(n).alias("_" + n) for n in to],
+        )
+        both = jump.join(onward, ["card_id", "to_pos", *to])
+        jump = checkpointed(both.select("card_id", "pos", *at, F.col("_pos").alias("to_pos"), *[F.col("_" + n).alias(n) for n in to]))
+    return true.join(small.select("card_id", "chunk", "pos"), ["card_id", "pos"]).select("card_id", "chunk", *at)
 
 
 def closing_places(decisions: DataFrame) -> DataFrame:

@@ -31,6 +31,13 @@ CLICKSTREAM = _strings("user_id", "timestamp", "song_id", "date")
 SONG_METADATA = _strings("song_id", "artist_id")
 NOTIFICATION_CLICKS = _strings("notification_id", "user_id", "date")
 
+# The columns of the accounts file, of which three are used.
+ACCOUNTS = _strings(
+    *"_unit_id _golden _unit_state _trusted_judgments _last_judgment_at gender gender:confidence profile_yn "
+    "profile_yn:confidence created description fav_number gender_gold link_color name profile_yn_gold profileimage "
+    "retweet_count sidebar_color text tweet_coord tweet_count tweet_created tweet_id tweet_location user_timezone".split()
+)
+
 CARD_MEMBER = T.StructType(
     [
         T.StructField("card_id", T.StringType()),

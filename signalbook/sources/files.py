@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from signalbook import schemas
 
@@ -23,10 +24,20 @@ def notification_clicks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def accounts(spark: SparkSession, path: str) -> DataFrame:
-    """Accounts CSV with a header; malformed rows are dropped.  No types are
-    inferred, as the columns kept are text."""
+    """Accounts CSV with a header; malformed rows are dropped.
+
+    Columns are those of :data:`schemas.ACCOUNTS`, in the order of the header,
+    which may have fewer; one that the schema does not know, or the lack of one
+    that is used, is an error."""
+    header = spark.read.option("header", True).csv(path).columns
+    known = {field.name: field for field in schemas.ACCOUNTS.fields}
+    wrong = [n for n in header if n not in known] + [n for n in ("_unit_id", "gender", "text") if n not in header]
+    if wrong:
+        raise ValueError(f"accounts with unknown or missing columns: {', '.join(wrong)}")
     return (
-        spark.read.option("header", True)
+        spark.read.schema(T.StructType([known[n] for n in header]))
+        .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "DROPMALFORMED")
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)

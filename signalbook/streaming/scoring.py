@@ -6,6 +6,8 @@ its rows is split over tasks there too.  What a store holds:
 ==================  =========================================================
 ``checkpoint``      how far the source was read
 ``decisions``       every verdict, by batch and event date
+``segments``        those of closed batches, merged, by event date; ``manifest``
+                    says which count
 ``quarantine``      records that could not be read, by batch
 ``counts``          records per verdict or fault, by batch
 ``moves``           by batch: the new place and time of the cards that moved
@@ -32,6 +34,7 @@ from signalbook.operators.journey_fold import DECISION_FIELDS
 from signalbook.plans import fraud
 from signalbook.schemas import LOOKUP, MOVES
 from signalbook.sources.topics import identified
+from signalbook.streaming import compaction
 
 #: A new version of the lookup is written every so many batches.
 VERSION_EVERY = 100
@@ -157,8 +160,13 @@ def _replay(spark: SparkSession, store: str, version: int, number: int) -> DataF
 
 
 def decisions(spark: SparkSession, store: str) -> DataFrame:
-    """All verdicts so far."""
-    return spark.read.schema(DECISIONS).parquet(f"{store}/decisions")
+    """All verdicts so far, from segments where batches have been merged."""
+    return compaction.decisions(spark, store, DECISIONS)
+
+
+def compact(spark: SparkSession, store: str, keep: int = 2) -> None:
+    """Merges the small files of closed batches; may run beside the stream."""
+    compaction.compact(spark, store, DECISIONS, keep)
 
 
 def _version(store: str, number: int) -> str:

@@ -1,6 +1,10 @@
 """Readers of files."""
 
+import pytest
+
+from signalbook import schemas
 from signalbook.functions import text
+from signalbook.operators.latest import not_loaded
 from signalbook.plans import accounts as acc
 from signalbook.plans import cohorts, fraud
 from signalbook.sources import files
@@ -42,6 +46,27 @@ def test_accounts_by_name_trimmed_and_well_formed(spark, tmp_path):
     assert words == {"1": ["hello", "", "you"], "4": []}
 
 
+def test_accounts_have_the_columns_of_their_schema(spark, tmp_path):
+    names = schemas.ACCOUNTS.fieldNames()
+    row = ["7" if n == "_unit_id" else "male" if n == "gender" else "hi there" if n == "text" else "x" for n in names]
+    whole = files.accounts(spark, write(tmp_path / "w.csv", ",".join(names) + "\n" + ",".join(row) + "\n"))
+    assert [tuple(r) for r in whole.collect()] == [("7", "male", "hi there")]
+    turned = files.accounts(spark, write(tmp_path / "t.csv", ",".join(names[::-1]) + "\n" + ",".join(row[::-1]) + "\n"))
+    assert turned.collect() == whole.collect()
+    for body in ("_unit_id,gender\n1,male\n", "_unit_id,gender,text,colour\n1,male,x,y\n"):
+        with pytest.raises(ValueError, match="text|colour"):
+            files.accounts(spark, write(tmp_path / "bad.csv", body))
+
+
+def test_rows_of_different_loads_are_told_by_all_their_fields(spark, tmp_path):
+    head = "card_id,member_id,amount,postcode,pos_id,transaction_dt,status\n"
+    row = "1,2,30,00601,9,11-02-2018 00:00:00,"
+    first = fraud.typed(files.classified_transactions(spark, write(tmp_path / "a.csv", head + row + "GENUINE\n")))
+    second = files.classified_transactions(spark, write(tmp_path / "b.csv", head + row + "FRAUD\n" + row.replace("9,", "90,") + "FRAUD\n"))
+    fresh = not_loaded(fraud.typed(second), first, "row_id").collect()
+    assert [r.pos_id for r in fresh] == ["90"] and len(fresh[0].row_id) == 64
+
+
 def test_zips_and_classified_transactions(spark, tmp_path):
     zips = files.zips(spark, write(tmp_path / "z.csv", "00601,18.18,-66.75,Adjuntas,PR,7\n"))
     assert tuple(zips.first()) == ("00601", 18.18, -66.75, "Adjuntas", "PR", "7")
