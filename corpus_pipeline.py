@@ -18,7 +18,11 @@ LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; null texts and texts without letters go."""
+    """Documents in a language that can be told; null texts and texts without letters go.
+
+    The score is a probability among the learned languages, near 1 for almost
+    any text with letters, so the stage rejects no text for being in another one.
+    """
     docs = document_columns(docs)
     langs, table = lang_id.fit(docs)
     told = lang_id.predict(docs, langs, table)
@@ -27,7 +31,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, without their hosts' boilerplate lines."""
+    """Documents that pass the rules, without their hosts' boilerplate lines.
+
+    Null texts go, having no words; repeated rows stay or go together; documents
+    without a source are one host.
+    """
     return line_rules.cleaned(document_columns(docs))
 
 
@@ -41,7 +49,11 @@ def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: documents cut at the budget, or repeated."""
+    """Sources at their target weights: documents cut at the budget, or repeated.
+
+    The mix draws by id and text, so repeated rows are drawn alike; a null
+    source is one, a text without words takes no part in a budget.
+    """
     docs = document_columns(docs).withColumn("size", mixing.word_count(F.col("text")))
     docs = docs.withColumn("tie", F.md5(F.col("text").cast("binary")))
     mixed = mixing.repeated(mixing.mix(docs, "size", ["tie"], weights=[3, 1, 2]), "size")
@@ -49,7 +61,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, each with its place in a sequence."""
+    """The pieces of all documents, each with its place in a sequence; a null
+    text is empty and has one piece, repeated rows are packed each."""
     return packing.packed_documents(document_columns(docs), length=2048)
 
 

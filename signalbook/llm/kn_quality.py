@@ -294,7 +294,9 @@ def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     A language's threshold is the quantile over its held trusted documents; a language without any, null included, takes that of all.
     Without trusted documents nothing is rejected but texts without characters,
-    which have no perplexity.
+    null ones included, which have no perplexity.  Repeated rows are scored and
+    returned each, and counted each if they are trusted; a text may be as long
+    as a column can hold.  An empty table gives an empty one.
     """
     docs = docs.select("doc_id", "text", "lang").mapInArrow(_subwords, "doc_id long, text string, lang string")
     scored = stored(perplexities(stored(docs, "subwords"), labels), "perplexities")

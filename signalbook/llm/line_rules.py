@@ -12,9 +12,6 @@ WINDOW = 5
 #: A line is boilerplate of its host in more than ``MIN_DOCS`` distinct texts,
 #: however large the host.
 MIN_DOCS = 20
-#: Read by the SQL twin only, which also asks for more than this share of the
-#: host's distinct texts; from 2,000 texts a host on that leaves lines in.
-SHARE = 0.01
 #: A document is depleted if its boilerplate lines hold more than this share of its words.
 MOST_REMOVED = 0.7
 _HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -135,7 +132,11 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
     ``base_failed``: fewer than 10 words, or over a fifth of them repeated.
     A text that passes is rejected if over ``MOST_REMOVED`` of its words are in
-    its host's boilerplate lines, or fewer than 10 words are left.
+    its host's boilerplate lines, or fewer than 10 words are left.  A null text
+    has no words and fails; a null source is a host of its own; a null or
+    repeated id is a row like others.  Equal texts of a host count as one
+    document, so copies alone make no line common, and get the same verdict.
+    An empty table gives an empty one.
     """
     base = base_measures(docs).withColumn("host", F.coalesce("source", F.lit("\x00")))
     removed = removed_lines(docs).select("host", "text_hash", "removed_words")
@@ -155,7 +156,8 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """The kept documents, without their host's boilerplate lines; other
-    columns as they were, ``n_chars`` counted anew where present."""
+    columns as they were, ``n_chars`` counted anew where present.  Nulls,
+    repeated rows and the empty table are as in :func:`verdicts`."""
     columns = docs.columns
     host = F.coalesce("source", F.lit("\x00")).alias("__rule_host")
     # Aggregated before the filter, which else would move into the measures.

@@ -48,9 +48,7 @@ pos AS (SELECT host, text, unnest(string_split(regexp_replace(regexp_replace(low
     '[\x20\x09\x0B-\x0D]+', ' ', 'g'), chr(10))) AS raw FROM txt),
 l AS (SELECT host, text, trim(raw) AS line, len(trim(raw)) - len(replace(trim(raw), ' ', '')) + 1 AS n
   FROM pos WHERE trim(raw) <> ''),
-size AS (SELECT host, count(*) AS n_host FROM txt GROUP BY host),
-com AS (SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS n_docs FROM l GROUP BY host, line)
-  JOIN size USING (host) WHERE n_docs > {line_rules.MIN_DOCS} AND n_docs > {line_rules.SHARE} * n_host),
+com AS (SELECT host, line FROM l GROUP BY host, line HAVING count(DISTINCT text) > {line_rules.MIN_DOCS}),
 cut AS (SELECT host, text, CAST(sum(n) AS BIGINT) AS removed_words FROM l JOIN com USING (host, line) GROUP BY host, text),
 v AS (SELECT base.*, coalesce(removed_words, 0) AS removed_words,
     n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed

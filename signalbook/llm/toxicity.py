@@ -94,7 +94,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], fit_docs: int
     """A chain over ``categories``, columns of ``labels`` with 0 and 1.
 
     About ``fit_docs`` documents with all labels are drawn by a hash of their
-    id; of several labels of one document the largest counts.  A category with
+    id; of several labels of one document the largest counts, of several texts
+    of one id the smallest, and null ids or labels are left out.  A category with
     one value in the draw gets that value's share as its probability.
     """
     fit_docs = fit_docs or FIT_DOCS
@@ -103,8 +104,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str], fit_docs: int
     n = given.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     given = given.filter(draw * n < fit_docs).withColumnRenamed("doc_id", "labelled")
-    # Bounded by ``fit_docs``.
+    # Bounded by ``fit_docs``; so are the documents, one per id.
     drawn = docs.select("doc_id", "text").join(F.broadcast(given), F.col("doc_id") == F.col("labelled"))
+    drawn = drawn.groupBy("doc_id", *categories).agg(F.min("text").alias("text"))
     fields = ", ".join(f"{c} int" for c in categories)
     sample = drawn.select("doc_id", *categories, "text").mapInArrow(
         _distinct_words, f"doc_id long, {fields}, words array<string>"
@@ -160,8 +162,8 @@ def _best_threshold(rows: DataFrame, category: str) -> float:
 def predict(docs: DataFrame, chain: Chain) -> DataFrame:
     """``doc_id``, ``p_<category>`` and ``<category>`` (whether the probability
     reaches the category's threshold) for every row of ``docs``, over the whole
-    text; a text without known words, null included, gets the chain's answer to
-    no words."""
+    text, however long; a text without known words, null included, gets the
+    chain's answer to no words.  Repeated rows get equal rows, an empty table none."""
     names = [f"p_{c}" for c in chain.categories]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
