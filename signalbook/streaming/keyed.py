@@ -15,6 +15,7 @@ source's checkpoint here: a record sent twice is two transactions.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 from math import nan
@@ -22,22 +23,27 @@ from typing import Any
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from signalbook.operators import journey_fold as fold
+from signalbook.operators.journey_fold import DECIDE_INPUT, DECISION_FIELDS, START, TRANSACTION, decide
 from signalbook.plans import fraud
 from signalbook.sources.topics import identified
 
+# Executors get the processor by value and need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CARRY = ["decision_id", *fraud.TRANSACTION]
+ORDER = fraud.ORDER
 KNOWN = "ucl double, score double, lat double, lon double, epoch bigint"
 _TRANSACTION = (
     "decision_id string, txn_id bigint, card_id string, member_id string, amount int, postcode string, pos_id string, "
     "transaction_dt string, epoch bigint"
 )
 #: What :func:`decisions` returns.
-DECISIONS = f"{_TRANSACTION}, {fold.DECISION_FIELDS}"
+DECISIONS = f"{_TRANSACTION}, {DECISION_FIELDS}"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -54,16 +60,16 @@ class CardState(StatefulProcessor):
         self.known.update((*floats, int(row["epoch"])))
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(list(rows), ignore_index=True).sort_values(fraud.ORDER, ignore_index=True)
+        arrived = pd.concat(list(rows), ignore_index=True).sort_values(ORDER, ignore_index=True)
         known = self.known.get() if self.known.exists() else None
         start = arrived.iloc[:0]
         if known is not None:
             ucl, score, lat, lon, epoch = known
-            start = pd.DataFrame({"card_id": [key[0]], "kind": fold.START, "epoch": epoch, "lat": lat, "lon": lon, "ucl": ucl, "score": score})
-        walk = pd.concat([start, arrived.assign(kind=fold.TRANSACTION)], ignore_index=True).assign(chunk=0)
-        walk = walk.reindex(columns=[*dict.fromkeys([*CARRY, *fold.DECIDE_INPUT])])
+            start = pd.DataFrame({"card_id": [key[0]], "kind": START, "epoch": epoch, "lat": lat, "lon": lon, "ucl": ucl, "score": score})
+        walk = pd.concat([start, arrived.assign(kind=TRANSACTION)], ignore_index=True).assign(chunk=0)
+        walk = walk.reindex(columns=[*dict.fromkeys([*CARRY, *DECIDE_INPUT])])
         batch = pa.RecordBatch.from_pandas(walk, schema=_WALK, preserve_index=False)
-        for decided in fold.decide(CARRY)(iter([batch])):
+        for decided in decide(CARRY)(iter([batch])):
             verdicts = decided.to_pandas()
             genuine = verdicts.index[verdicts["status"] == "GENUINE"]
             if len(genuine):
@@ -77,7 +83,7 @@ class CardState(StatefulProcessor):
 
 _ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
 _KINDS = dict(f.split() for f in f"{_TRANSACTION}, chunk int, kind int, lat double, lon double, ucl double, score double".split(", "))
-_WALK = pa.schema([(n, _ARROW[_KINDS[n]]) for n in dict.fromkeys([*CARRY, *fold.DECIDE_INPUT])])
+_WALK = pa.schema([(n, _ARROW[_KINDS[n]]) for n in dict.fromkeys([*CARRY, *DECIDE_INPUT])])
 
 
 @contextmanager
