@@ -143,8 +143,7 @@ def tokenizers():
     return ranks, Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@pytest.mark.parametrize("n", [1_000_000, 2_000_000])
-@pytest.mark.parametrize("rest", ["{}", "a{}b", "{}<|endoftext|>{}"])
+@pytest.mark.parametrize("n, rest", [(2_000_000, "{}"), (1_000_000, "a{}b"), (1_000_000, "{}<|endoftext|>{}")])
 def test_long_blanks_have_the_ids_of_the_vocabulary(tokenizers, n, rest):
     for blank in " ", "\t", "　":
         text = rest.format(blank * (n // 4 if blank == "　" else n), " " * 300)
