@@ -254,7 +254,7 @@ def stream_fraud_keyed(spark: SparkSession, d: str) -> DataFrame:
     part = F.least(F.lit(FILES - 1), F.floor(after / (3 * DAY))).cast("int")
     store = new_dir(spark, "stream_fraud_keyed")
     for number in range(FILES):
-        t.records(arriving.filter(part == number)).coalesce(1).write.json(f"{store}/files/{number}")
+        t.records(arriving.filter(part == number)).repartition(1).write.json(f"{store}/files/{number}")
         if number % 2:
             stream = topics.json_files(spark, f"{store}/files/*", files_per_batch=1)
             keyed.start(stream, _lookup(spark, d), _zips(spark, d), store, interval=None).awaitTermination()

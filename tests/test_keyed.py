@@ -92,3 +92,22 @@ def test_unknown_cards_places_and_half_known_rows(spark, tmp_path):
     batch = {r.txn_id: r.status for r in fraud.score_transactions(good, lookup, zips).collect()}
     assert got == batch
     assert [r.reason for r in spark.read.parquet(f"{store}/quarantine").collect()] == ["MALFORMED_JSON"]
+
+
+def test_many_cards_are_walked_in_few_calls(spark, inputs, tmp_path, monkeypatch):
+    """A call for each card cost more than its rows; a bucket's cards keep their own state."""
+    calls = spark.sparkContext.accumulator(0)
+    walked = keyed.CardState.handleInputRows
+
+    def counted(self, key, rows, timerValues):
+        calls.add(1)
+        return walked(self, key, rows, timerValues)
+
+    monkeypatch.setattr(keyed, "BUCKETS", 2)
+    monkeypatch.setattr(keyed.CardState, "handleInputRows", counted)
+    records, expected, _, _ = inputs
+    source, store = str(tmp_path / "in"), str(tmp_path / "store")
+    arrive(spark, source, records, 0, 2)
+    run(spark, source, inputs, store)
+    assert stored(spark, store) == expected
+    assert calls.value == 2 * 2 < len({r[2] for r in expected.values()})
